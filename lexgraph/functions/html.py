@@ -11,14 +11,20 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Executors get the code of this module with the function; they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class Selectors(NamedTuple):
     """Which elements hold the fields: (tag, class) or (tag, id) pairs, and a meta name."""
 

@@ -41,30 +41,31 @@ def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
 
 
-def write_snapshot(df: DataFrame, table: str, dt: str | int, part_type: str = "bigint") -> None:
+def create_table(df: DataFrame, table: str, tail: str, more: str = "", location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    df.sparkSession.sql(
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({check_flat(df)}{more}) USING parquet {tail}{place}"
+    )
+
+
+def write_snapshot(
+    df: DataFrame, table: str, dt: str | int, part_type: str = "bigint", location: str | None = None
+) -> None:
     """Overwrite the partition ``stat_date = dt``, creating the table if needed.
 
     Other dates stay; an empty ``df`` empties the partition. Columns go in by position.
     """
-    columns = check_flat(df)
-    spark = df.sparkSession
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, stat_date {part_type}) "
-        "USING parquet PARTITIONED BY (stat_date)"
-    )
-    value = F.lit(str(dt)).cast(part_type)
+    create_table(df, table, "PARTITIONED BY (stat_date)", f", stat_date {part_type}", location)
     literal = "'" + str(dt).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if part_type.lower() != "string":
-        literal = str(spark.range(1).select(value).first()[0])
-    spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal}) SELECT * FROM {{df}}", df=df)
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal}) SELECT * FROM {{df}}", df=df
+    )
 
 
-def write_table(df: DataFrame, table: str) -> None:
+def write_table(df: DataFrame, table: str, location: str | None = None) -> None:
     """Overwrite the whole table, creating it if needed."""
-    columns = check_flat(df)
-    spark = df.sparkSession
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}) USING parquet")
-    spark.sql(f"INSERT OVERWRITE TABLE {quoted(table)} SELECT * FROM {{df}}", df=df)
+    create_table(df, table, "", location=location)
+    df.sparkSession.sql(f"INSERT OVERWRITE TABLE {quoted(table)} SELECT * FROM {{df}}", df=df)
 
 
 def snapshot_scan(
