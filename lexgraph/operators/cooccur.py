@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgraph.plans.lookup import lookup_join
-from lexgraph.plans.stage import stage
+from lexgraph.plans.stage import lookup_side, stage_sized
 
 
 def tag_count(terms: DataFrame, drop_empty_tags: bool = False) -> DataFrame:
@@ -45,10 +45,12 @@ def tag_cooccur(terms: DataFrame, drop_empty_tags: bool = False) -> DataFrame:
             .alias("m"),
         )
     )
-    counted = stage(pairs.groupBy("tag1", "tag2").agg(F.sum("m").alias("n")), "cooccur")
-    single = counted.where(F.col("tag1") == F.col("tag2"))
-    double = counted.where(F.col("tag1") > F.col("tag2")).withColumnRenamed("n", "twotagnum")
+    counted = stage_sized(pairs.groupBy("tag1", "tag2").agg(F.sum("m").alias("n")), "cooccur")
+    double = counted.df.where(F.col("tag1") > F.col("tag2")).withColumnRenamed("n", "twotagnum")
+    single, small = lookup_side(
+        counted.df.where(F.col("tag1") == F.col("tag2")).select("tag1", "n"), "tag_counts", counted.small
+    )
     first = single.select("tag1", F.col("n").alias("tag1num"))
-    second = single.select("tag2", F.col("n").alias("tag2num"))
-    joined = lookup_join(lookup_join(double, first, "tag1", "inner"), second, "tag2", "inner")
+    second = single.select(F.col("tag1").alias("tag2"), F.col("n").alias("tag2num"))
+    joined = lookup_join(lookup_join(double, first, "tag1", "inner", small), second, "tag2", "inner", small)
     return joined.select("tag1", "tag2", "tag1num", "tag2num", "twotagnum")

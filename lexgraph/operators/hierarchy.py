@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexgraph.functions.strings import jsplit
 from lexgraph.plans.lookup import lookup_join
-from lexgraph.plans.stage import new_path, stage
+from lexgraph.plans.stage import Staged, lookup_side, new_path, stage, stage_sized
 
 
 def tag_edges(cooccur: DataFrame, thres: float, min_co: int = 10) -> DataFrame:
@@ -37,40 +37,42 @@ class TagLayers(NamedTuple):
     layers: DataFrame  # [tag, layer]
 
 
-def _rounds(edges: DataFrame) -> DataFrame:
+def _rounds(edges: Staged) -> DataFrame:
     """[child, parent, round]: the round in which the parent is nobody's child any more.
 
     Each round takes away the edges of the current top tags. Equal to one plus the longest path
-    from a root to the parent. A round without a top tag means that a cycle is left.
+    from a root to the parent. A round that takes nothing away has met a cycle.
     """
-    spark = edges.sparkSession
-    rest = stage(edges.select("child", "parent").distinct(), "edges")
+    spark = edges.df.sparkSession
     root = new_path(spark, "rounds")
-    schema = "child string, parent string, is_top int, round int"
-    rnd = 0
-    while rnd == 0 or not rest.isEmpty():
+    rest, left, rnd = edges.df, edges.rows, 0
+    while left:
         rnd += 1
-        ends = rest.select(F.col("child").alias("tag"), F.lit(1).alias("is_child")).unionByName(
-            rest.select(F.col("parent").alias("tag"), F.lit(0).alias("is_child"))
+        ends = rest.select(F.col("child").alias("parent"), F.lit(1).alias("is_child")).unionByName(
+            rest.select("parent", F.lit(0).alias("is_child"))
         )
-        tops = stage(
-            ends.groupBy("tag").agg(F.max("is_child").alias("is_child")).where("is_child = 0").select("tag"), "tops"
+        tops, small = lookup_side(
+            ends.groupBy("parent").agg(F.max("is_child").alias("is_child")).where("is_child = 0").select("parent"),
+            "tops",
+            edges.small,
         )
-        if tops.isEmpty() and not rest.isEmpty():
-            raise ValueError("cycle in tag edges")
-        marked = lookup_join(rest, tops.select(F.col("tag").alias("parent"), F.lit(1).alias("hit")), "parent")
+        seen = Observation()
         (
-            marked.select("child", "parent", F.coalesce("hit", F.lit(0)).alias("is_top"))
+            lookup_join(rest, tops.withColumn("is_top", F.lit(1)), "parent", small=small)
+            .select("child", "parent", F.coalesce("is_top", F.lit(0)).alias("is_top"))
+            .observe(seen, F.count_if(F.col("is_top") == 0).alias("left"))
             .write.partitionBy("is_top")
             .parquet(f"{root}/round={rnd}")
         )
-        rest = (
-            spark.read.schema("child string, parent string, is_top int")
-            .parquet(f"{root}/round={rnd}")
-            .where("is_top = 0")
-            .select("child", "parent")
-        )
-    return spark.read.schema(schema).parquet(root).where("is_top = 1").select("child", "parent", "round")
+        if seen.get["left"] == left:
+            raise ValueError("cycle in tag edges")
+        left = seen.get["left"]
+        read = spark.read.schema("child string, parent string, is_top int").parquet(f"{root}/round={rnd}")
+        rest = read.where("is_top = 0").select("child", "parent")
+    if not rnd:
+        return edges.df.withColumn("round", F.lit(0))
+    read = spark.read.schema("child string, parent string, is_top int, round int").parquet(root)
+    return read.where("is_top = 1").select("child", "parent", "round")
 
 
 def tag_layers(edges: DataFrame) -> TagLayers:
@@ -80,29 +82,33 @@ def tag_layers(edges: DataFrame) -> TagLayers:
     top tag of that round. A child may keep several parents, also from different rounds; its layer
     is its longest distance from a root. A root whose edges are all dropped disappears.
     """
-    rounds = _rounds(edges)
+    start = stage_sized(edges.select("child", "parent").distinct(), "edges")
+    rounds = _rounds(start)
     # Rounds in which a tag is the child of a top: at most one entry per layer and tag.
-    child_in = stage(
-        rounds.groupBy(F.col("child").alias("parent")).agg(F.collect_set("round").alias("rs")), "child_rounds"
+    child_in, small = lookup_side(
+        rounds.groupBy(F.col("child").alias("parent")).agg(F.collect_set("round").alias("rs")),
+        "child_rounds",
+        start.small,
     )
-    skips = (
-        lookup_join(rounds.select("child", "parent"), child_in, "parent", "inner")
+    skips, skips_small = lookup_side(
+        lookup_join(rounds.select("child", "parent"), child_in, "parent", "inner", small)
         .select("child", F.explode("rs").alias("r"))
         .distinct()
         .groupBy("child")
-        .agg(F.collect_set("r").alias("skip"))
+        .agg(F.collect_set("r").alias("skip")),
+        "skips",
+        start.small,
     )
-    marked = lookup_join(rounds, stage(skips, "skips"), "child")
     no_skip = F.col("skip").isNull() | ~F.array_contains("skip", F.col("round"))
+    marked = lookup_join(rounds, skips, "child", small=skips_small)
     kept = stage(marked.where(no_skip).select("child", "parent", "round"), "kept")
+    roots = kept.where("round = 1").select(F.col("parent").alias("tag")).distinct()
     layers = (
-        rounds.groupBy(F.col("child").alias("tag"))
+        kept.groupBy(F.col("child").alias("tag"))
         .agg(F.max("round").alias("layer"))
-        .unionByName(
-            kept.where("round = 1").select(F.col("parent").alias("tag")).distinct().withColumn("layer", F.lit(0))
-        )
+        .unionByName(roots.withColumn("layer", F.lit(0)))
     )
-    return TagLayers(kept, stage(layers, "layers"))
+    return TagLayers(kept, layers)
 
 
 def tag_paths(kept: DataFrame, layers: DataFrame) -> DataFrame:
@@ -113,14 +119,14 @@ def tag_paths(kept: DataFrame, layers: DataFrame) -> DataFrame:
     """
     first = kept.groupBy(F.col("child").alias("tag")).agg(F.min(F.struct("round", "parent"))["parent"].alias("up"))
     roots = layers.where("layer = 0").select("tag", F.lit(None).cast("string").alias("up"))
-    state = stage(first.unionByName(roots).withColumn("path", F.array("tag")), "paths")
-    while not state.where("up is not null").isEmpty():
-        above = state.select(F.col("tag").alias("up"), F.col("up").alias("up2"), F.col("path").alias("head"))
-        joined = lookup_join(state.where("up is not null"), above, "up", "inner").select(
+    state = stage_sized(first.unionByName(roots).withColumn("path", F.array("tag")), "paths")
+    while not state.df.where("up is not null").isEmpty():
+        above = state.df.select(F.col("tag").alias("up"), F.col("up").alias("up2"), F.col("path").alias("head"))
+        joined = lookup_join(state.df.where("up is not null"), above, "up", "inner", state.small).select(
             "tag", F.col("up2").alias("up"), F.concat("head", "path").alias("path")
         )
-        state = stage(state.where("up is null").unionByName(joined), "paths")
-    return state.select("tag", "path", (F.size("path") - 1).alias("depth"))
+        state = stage_sized(state.df.where("up is null").unionByName(joined), "paths")
+    return state.df.select("tag", "path", (F.size("path") - 1).alias("depth"))
 
 
 def tag_paths_for_terms(terms: DataFrame, paths: DataFrame) -> DataFrame:

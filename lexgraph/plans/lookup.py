@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+from lexgraph.plans.stage import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, row_bytes
+
 # Keys above 1/HOT_KEYS of the rows are salted, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 256
 HOT_KEYS_TRACKED = 8192
@@ -22,8 +22,8 @@ def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
     """True if ``df`` is within both limits; looks at no more than ``max_rows + 1`` rows."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    size = F.coalesce(F.sum(row_bytes()), F.lit(0))
+    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
     return n <= max_rows and b <= max_bytes
 
 
@@ -57,8 +57,15 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
     return salted.drop("salts").join(repeated.drop("salts"), [key, "__salt"], how).drop("__salt")
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join ``facts`` with a lookup on ``key`` (left, inner, left_semi or left_anti)."""
-    if fits_broadcast(lookup):
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", small: bool | None = None
+) -> DataFrame:
+    """Join ``facts`` with a lookup on ``key`` (left, inner, left_semi or left_anti).
+
+    ``small`` tells that the lookup was counted already; else it is counted here.
+    """
+    if small is None:
+        small = fits_broadcast(lookup)
+    if small:
         return facts.join(F.broadcast(lookup), key, how)
     return salted_join(facts, lookup, key, how)

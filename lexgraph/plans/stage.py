@@ -8,8 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -28,9 +33,43 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/lexgraph/{label}-{uuid.uuid4().hex}"
 
 
+def row_bytes():
+    """Bytes of a row, written out."""
+    return F.octet_length(F.to_json(F.struct("*")))
+
+
+class Staged(NamedTuple):
+    """A staged table and what was counted while it was written."""
+
+    df: DataFrame
+    rows: int
+    size: int
+
+    @property
+    def small(self) -> bool:
+        """True if the table, and so every part of it, may be broadcast."""
+        return self.rows <= MAX_BROADCAST_ROWS and self.size <= MAX_BROADCAST_BYTES
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame over the written table."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_sized(df: DataFrame, label: str) -> Staged:
+    """``stage`` that also counts rows and bytes, in the same job."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes()).alias("size"))
+    staged = stage(counted, label)
+    return Staged(staged, seen.get["rows"], seen.get["size"] or 0)
+
+
+def lookup_side(df: DataFrame, label: str, small: bool) -> tuple[DataFrame, bool]:
+    """``df`` and whether it may be broadcast: as it is if known to be small, else staged and counted."""
+    if small:
+        return df, True
+    staged = stage_sized(df, label)
+    return staged.df, staged.small

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.plans.lookup import lookup_join
-
 BLANKS = r"[ \t\r\n]+"
 
 
@@ -35,11 +33,10 @@ def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """[bk_word, bk_relwords, bk_tags]: customer; nation, region, segment; three levels of tags."""
+    customers = load(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_mktsegment")
     nation = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
     region = load(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    places = lookup_join(nation, region, "n_regionkey", "inner").select("c_nationkey", "n_name", "r_name")
-    customers = load(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_mktsegment")
-    return lookup_join(customers, places, "c_nationkey", "inner").select(
+    return customers.join(nation, "c_nationkey").join(region, "n_regionkey").select(
         F.col("c_name").alias("bk_word"),
         F.concat_ws(",", "n_name", "r_name", "c_mktsegment").alias("bk_relwords"),
         F.concat_ws(",", "r_name", "n_name", F.concat_ws("|", "n_name", "c_mktsegment")).alias("bk_tags"),
@@ -48,19 +45,23 @@ def customer_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def class_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """[value] of "tag class" lines: sources by their number, language-source pairs by their language."""
-    docs = load(spark, sf_dir, "documents").select("lang", "source").distinct()
     number = F.floor(F.regexp_extract("source", r"\d+", 0).cast("int") / 7)
-    by_pair = docs.select(F.concat(F.concat_ws("|", "lang", "source"), F.lit(" "), F.ascii("lang") - 100).alias("value"))
-    by_source = docs.select(F.concat("source", F.lit(" "), number).alias("value"))
-    return by_pair.unionByName(by_source)
+    by_pair = F.concat(F.concat_ws("|", "lang", "source"), F.lit(" "), F.ascii("lang") - 100)
+    by_source = F.concat("source", F.lit(" "), number)
+    seen = load(spark, sf_dir, "documents").select("lang", "source").distinct()
+    return seen.select(F.explode(F.array(by_pair, by_source)).alias("value"))
 
 
 def nature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """[tag, nature]: pairs by language, and sources with a two-digit number."""
-    docs = load(spark, sf_dir, "documents").select("lang", "source").distinct()
-    pairs = docs.select(F.concat_ws("|", "lang", "source").alias("tag"), F.concat(F.lit("mz"), "lang").alias("nature"))
-    long = docs.where(F.length("source") > 4).select(F.col("source").alias("tag"), F.lit("mzsrc").alias("nature"))
-    return pairs.unionByName(long.distinct())
+    by_pair = F.struct(F.concat_ws("|", "lang", "source").alias("tag"), F.concat(F.lit("mz"), "lang").alias("nature"))
+    by_source = F.struct(F.col("source").alias("tag"), F.lit("mzsrc").alias("nature"))
+    seen = load(spark, sf_dir, "documents").select("lang", "source").distinct()
+    return (
+        seen.select(F.inline(F.array(by_pair, by_source)))
+        .where((F.col("nature") != "mzsrc") | (F.length("tag") > 4))
+        .distinct()
+    )
 
 
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
