@@ -56,10 +56,14 @@ def clean_csv(c: Column) -> Column:
     return squeeze_csv(F.regexp_replace(c, "/[^,]*", ""))
 
 
-def csv_size(squeezed: Column) -> Column:
-    """Number of items of a squeezed comma list."""
-    commas = F.length(squeezed) - F.length(F.replace(squeezed, F.lit(","), F.lit("")))
-    return F.when(squeezed == "", F.lit(0)).otherwise(commas + 1)
+def at_least(csv: Column, n: int) -> Column:
+    """True if a comma list has ``n`` or more items that are not empty; reads no further than those."""
+    return csv.rlike(r"\A,*+" + "[^,]++,++" * (n - 1) + "[^,]") if n > 0 else F.lit(True)
+
+
+def csv_size(csv: Column) -> Column:
+    """Number of items of a comma list that are not empty."""
+    return F.regexp_count(csv, F.lit("[^,]+"))
 
 
 def csv_items(squeezed: Column) -> Column:
@@ -68,6 +72,19 @@ def csv_items(squeezed: Column) -> Column:
     return F.when(squeezed == "", nothing).otherwise(F.split(squeezed, ","))
 
 
+def run_counts(ordered: Column) -> Column:
+    """[(item, n)] of the distinct items of a sorted array column, counted inside the row."""
+    places = F.sequence(F.lit(0), F.size(ordered) - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    bounds = F.array_append(starts, F.size(ordered))
+    runs = F.zip_with(bounds, F.slice(bounds, 2, F.size(bounds)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    counted = F.transform(
+        F.filter(runs, lambda r: r["b"].isNotNull()),
+        lambda r: F.struct(F.get(ordered, r["a"]).alias("item"), (r["b"] - r["a"]).cast("long").alias("n")),
+    )
+    return F.when(F.size(ordered) > 0, counted).otherwise(F.array().cast("array<struct<item:string,n:bigint>>"))
+
+
 def replace_each(c: Column, items: Column, by: str = " ") -> Column:
     """Replace every item of a per-row list, in list order; empty items change nothing."""
     return F.aggregate(items, c, lambda acc, w: F.replace(acc, w, F.lit(by)))

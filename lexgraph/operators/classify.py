@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.plans.lookup import lookup_join, salted_join
+from lexgraph.functions.strings import run_counts
+from lexgraph.plans.lookup import hot_keys, lookup_join, salted_join
 
 
 def classify_terms(terms: DataFrame, tag_class: DataFrame) -> DataFrame:
@@ -26,18 +27,20 @@ def classify_terms(terms: DataFrame, tag_class: DataFrame) -> DataFrame:
 def related_by_class(classified: DataFrame, no_class: int = -1) -> DataFrame:
     """[word, cls, relcls, relwords]: related terms of each term by their own class, as "w/n,w/n".
 
-    Most frequent first, equal counts by falling term. Repeats are counted per term before
-    anything moves. The join of related terms with their class is between two sides as large as
-    the data, so it is never broadcast, and terms that very many others list are salted.
-    The lists collected at the end are parts of one term's own list.
+    Most frequent first, equal counts by falling term. Repeats are counted inside each term's
+    list before anything moves. The join of related terms with their class is between two sides
+    as large as the data, so it is never broadcast, and terms that very many others list are
+    salted. The lists collected at the end are parts of one term's own list. ``classified`` is
+    read several times and should be a staged table.
     """
     listed = (
-        classified.select("word", "cls", F.explode("relwords").alias("rel"))
-        .groupBy("word", "cls", "rel")
-        .agg(F.count(F.lit(1)).alias("n"))
+        classified.select("word", "cls", F.array_sort("relwords").alias("ordered"))
+        .select("word", "cls", F.inline(run_counts(F.col("ordered"))))
+        .withColumnRenamed("item", "rel")
     )
+    hot = hot_keys(classified.select(F.explode("relwords").alias("rel")), "rel")
     classes = classified.select(F.col("word").alias("rel"), F.col("cls").alias("relcls"))
-    joined = salted_join(listed, classes, "rel", "left").withColumn(
+    joined = salted_join(listed, classes, "rel", "left", hot).withColumn(
         "relcls", F.coalesce(F.col("relcls"), F.lit(no_class))
     )
     grouped = joined.groupBy("word", "cls", "relcls").agg(

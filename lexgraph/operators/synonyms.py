@@ -50,7 +50,9 @@ def synonyms(
     )
     combined = F.when(F.col("word") == F.col("input"), with_word).otherwise(with_both)
     removed = F.concat(longest_first(combined), longest_first(F.col("dirs")))
-    left = jsplit(replace_each(F.col("meta_keywords"), removed), " \t", run=True)
+    # The stripped string is a column of its own: the split looks at it several times.
+    rows = rows.withColumn("left", replace_each(F.col("meta_keywords"), removed))
+    left = jsplit(F.col("left"), " \t", run=True)
     other = (F.col("word"), F.col("input"))
     found = F.filter(F.array_distinct(left), lambda k: (k != other[0]) & (k != other[1]))
     if drop_empty:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.functions.strings import base_term, clean_csv, csv_items, csv_size, jsplit, jtrim, squeeze_csv
+from lexgraph.functions.strings import at_least, base_term, clean_csv, csv_items, csv_size, jsplit, jtrim
 
 
 def clean_terms(
@@ -38,7 +38,7 @@ def clean_terms(
     kept = (
         df.select(w.alias("w"), rel.alias("rel"), tag.alias("tags"))
         .where(F.length("w").between(min_len, max_len) & ~F.col("w").startswith("/") & has_tag)
-        .where(csv_size(squeeze_csv(F.col("rel"))) >= min_rel)
+        .where(at_least(F.col("rel"), min_rel))
         .select(base_term(F.col("w")).alias("word"), clean_csv(F.col("rel")).alias("rel"), "tags")
     )
     best = kept.groupBy("word").agg(

@@ -43,9 +43,14 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Shuffle join on ``key`` with the frequent keys of ``facts`` spread over salts."""
-    hot = F.broadcast(hot_keys(facts.select(key), key))
+def salted_join(
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None
+) -> DataFrame:
+    """Shuffle join on ``key`` with the frequent keys of ``facts`` spread over salts.
+
+    ``hot`` gives the frequent keys where they are cheaper to find than from ``facts``.
+    """
+    hot = F.broadcast(hot_keys(facts.select(key), key) if hot is None else hot)
     # A hash of the row, not rand(): a recomputed task must put each row where it was before.
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     salted = facts.join(hot, key, "left").withColumn(

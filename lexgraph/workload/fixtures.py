@@ -24,9 +24,10 @@ def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     pair = F.concat_ws("|", "lang", "source")
     padding = F.when(F.col("n_chars") > 1000, F.lit(",,")).otherwise(F.lit(""))
+    listed = F.replace(F.replace("text", F.lit(" | "), F.lit("/")), F.lit(" "), F.lit(","))
     return load(spark, sf_dir, "documents").select(
         F.concat_ws("/", first_token(), "source").alias("bk_word"),
-        F.regexp_replace(F.regexp_replace("text", r" *\| *", "/"), BLANKS, ",").alias("bk_relwords"),
+        F.replace(listed, F.lit("\n"), F.lit(",")).alias("bk_relwords"),
         F.concat(F.concat_ws(",", "lang", "source", pair, "lang"), padding).alias("bk_tags"),
     )
 
@@ -66,7 +67,7 @@ def nature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """[bk_word, bk_input, dir_words, meta_keywords]: tokens of a document, its whole text as keywords."""
-    tokens = F.split("text", BLANKS)
+    tokens = F.split("text", BLANKS, 5)
 
     def token(n: int):
         return F.coalesce(F.get(tokens, F.lit(n)), F.lit(""))

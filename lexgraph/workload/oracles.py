@@ -8,7 +8,7 @@ from __future__ import annotations
 
 DOC_TERMS = r"""doc_terms AS (
   SELECT regexp_extract(text, '[^ \t\r\n]+') || '/' || source AS bk_word,
-         regexp_replace(regexp_replace(text, ' *\| *', '/', 'g'), '[ \t\r\n]+', ',', 'g') AS bk_relwords,
+         replace(replace(replace(text, ' | ', '/'), ' ', ','), chr(10), ',') AS bk_relwords,
          lang || ',' || source || ',' || lang || '|' || source || ',' || lang
            || CASE WHEN n_chars > 1000 THEN ',,' ELSE '' END AS bk_tags
   FROM documents)"""
