@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -57,8 +58,8 @@ PRESERVE = {"pre", "textarea", "plaintext", "title"}
 ATTR = r"""%s[^\s/>][^\s/>=]*)(?>\s*=\s*(?>"%s[^"]*)"|'%s[^']*)'|%s[^\s>"'][^\s>]*)|(?=>)))?"""
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[\s/]+|" + ATTR % (("(?:",) * 4) + r")*+)>"
-    r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>"
+    r"|<(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?>[\s/]+|" + ATTR % (("(?:",) * 4) + r")*+)>"
+    r"|</(?P<end>[a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<[!?/][^>]*>"
     r"|(?P<cut><(?:[a-zA-Z!?]|/[a-zA-Z]).*\Z)"
     r"|(?P<text>[^<]+|<)",
@@ -108,6 +109,7 @@ class Capture:
 def scan_page(page: str, fields: frozenset[str], sel: Selectors) -> dict:
     """Fields of one page: links, tags, input, toc, meta, body_text, first_*."""
     stack: list[str] = []
+    opened: Counter[str] = Counter()  # how often each name is on the stack
     done: list[Capture] = [Capture("body", 0, {})] if "body_text" in fields else []
     live: list[Capture] = list(done)
     torn: dict[str, str] | None = None  # attributes of a link cut off by the end of a block
@@ -133,9 +135,12 @@ def scan_page(page: str, fields: frozenset[str], sel: Selectors) -> dict:
             toc_depths.pop()
         if torn is not None and any(n in ("td", "th", "caption", "object") for n in stack[depth:]):
             torn = None
+        opened.subtract(stack[depth:])
         del stack[depth:]
 
     def find(names: tuple[str, ...], stops) -> int:
+        if not any(opened[n] for n in names):
+            return -1
         for i in range(len(stack) - 1, -1, -1):
             if stack[i] in names:
                 return i
@@ -148,6 +153,7 @@ def scan_page(page: str, fields: frozenset[str], sel: Selectors) -> dict:
         if torn is not None:
             attrs, torn = torn, None
             stack.append("a")
+            opened["a"] += 1
             begin("a", attrs, at)
 
     pos, size = 0, len(page)
@@ -193,6 +199,7 @@ def scan_page(page: str, fields: frozenset[str], sel: Selectors) -> dict:
                 pos = shut.end()
             elif name not in VOID:
                 stack.append(name)
+                opened[name] += 1
                 if name == "a" and want_links:
                     begin("a", attrs, pos)
                 elif name == sel.tag[0] and "tags" in fields and tag_class in attrs.get("class", "").lower().split():
