@@ -42,12 +42,16 @@ def extract_html(
     drop_suffixes: tuple[str, ...] = ("fr=navbar", "force=1"),
     strip: str = "#viewPageContent",
     selectors: Selectors = Selectors(),
+    partitions: int | None = None,
 ) -> DataFrame:
     """The columns of ``df`` without ``html``, plus one column per asked field.
 
     links, tags, toc, meta are arrays of strings; input, body_text and the first_* fields (href, text,
     outer and inner source of the first link) are strings. Missing pages give empty fields.
+    ``partitions`` spreads the pages first, for input of few unsplittable files; it moves every page.
     """
+    if partitions:
+        df = df.repartition(partitions)
     others = [c for c in df.columns if c != html]
     parsed = df.select(*others, parse_html(F.col(html), fields, selectors).alias("__page"))
     shaped = {

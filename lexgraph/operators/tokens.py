@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexgraph.plans.lookup import lookup_join
+from lexgraph.plans.stage import lookup_side
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -34,27 +35,30 @@ def tokens_with_nature(
 def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
     """[*columns of tokens, start, word, nature]: longest lexicon word at each place of a token.
 
-    For scripts without blanks, where a token is a whole phrase. Each place yields the next
-    characters up to the longest lexicon word, cut by one linear regex pass, and its prefixes are
-    joined with the lexicon. Matches may overlap; nothing is disambiguated.
+    For scripts without blanks, where a token is a whole phrase. One linear regex pass cuts, at
+    each place, the next characters up to the longest lexicon word. Places whose first character
+    begins no word are dropped, the others are unrolled to their prefixes up to the longest word
+    with that character, and the prefixes are joined with the lexicon. Matches may overlap;
+    nothing is disambiguated.
     """
-    words = merge_lexicon(lexicon, user_lexicon).where(F.col("word") != "")
+    words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != ""), "lexicon", small=False)
+    head = F.substring("word", 1, 1).alias("head")
+    # One row per character that begins a word: no more than there are characters.
+    heads = words.groupBy(head).agg(F.max(F.length("word")).alias("longest"))
     longest = words.agg(F.max(F.length("word"))).first()[0] or 1
     window = F.regexp_extract_all(F.col("token"), F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{1,{longest}}}))"), F.lit(1))
-    places = tokens.select(*tokens.columns, F.posexplode(window).alias("start", "ahead"))
-    prefixes = places.select(
-        *tokens.columns,
-        "start",
-        F.explode(
-            F.transform(F.sequence(F.lit(1), F.length("ahead")), lambda n: F.substring(F.col("ahead"), F.lit(1), n))
-        ).alias("word"),
+    places = tokens.select(*tokens.columns, F.posexplode(window).alias("start", "ahead")).withColumn(
+        "head", F.substring("ahead", 1, 1)
     )
-    hits = lookup_join(prefixes, words, "word", "inner")
-    return (
-        hits.groupBy(*tokens.columns, "start")
-        .agg(F.max(F.struct(F.length("word").alias("n"), "word", "nature")).alias("m"))
-        .select(*tokens.columns, "start", "m.word", "m.nature")
+    prefixes = (
+        places.join(F.broadcast(heads), "head")
+        .select(*tokens.columns, "start", "ahead", F.explode(F.sequence(F.lit(1), F.least(F.length("ahead"), "longest"))).alias("n"))
+        .select(*tokens.columns, "start", "n", F.substring("ahead", F.lit(1), F.col("n")).alias("word"))
     )
+    hits = lookup_join(prefixes, words.select("word"), "word", "left_semi", small)
+    found = hits.groupBy(*tokens.columns, "start").agg(F.max("n").alias("n"))
+    named = found.withColumn("word", F.substring("token", F.col("start") + 1, F.col("n")))
+    return lookup_join(named, words, "word", "inner", small).select(*tokens.columns, "start", "word", "nature")
 
 
 def drop_stopwords(tokens: DataFrame, stop: DataFrame) -> DataFrame:

@@ -61,8 +61,7 @@ def layer_tags(
 def layer_terms(spark: SparkSession, paths: str, src: str, table: str, dt: str) -> None:
     """Path file and clean term table to [word, tags, endtag, taglayer, unmatchtag, tagidx]."""
     terms = csv_tags(snapshot_scan(spark, src, None, ("bk_word", "bk_tags")))
-    found = stage(path_scan(spark, paths), "paths")
-    write_snapshot(tag_paths_for_terms(terms, found), table, dt)
+    write_snapshot(tag_paths_for_terms(terms, path_scan(spark, paths)), table, dt)
 
 
 def classify_related(
@@ -79,7 +78,7 @@ def classify_related(
     ``debug_table`` also gets the classified terms.
     """
     terms = clean_terms_loose(snapshot_scan(spark, src, stat_date, TERM_COLUMNS))
-    classified = stage(classify_terms(terms, stage(tag_class_scan(spark, classes), "classes")), "classified")
+    classified = stage(classify_terms(terms, tag_class_scan(spark, classes)), "classified")
     if debug_table:
         shown = classified.select("word", F.array_join("relwords", ","), F.col("cls").cast("string"))
         write_snapshot(shown.toDF("bk_word", "bk_relwords", "bk_tag"), debug_table, dt)

@@ -11,22 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.plans.stage import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, row_bytes
+from lexgraph.plans.stage import lookup_side
 
 # Keys above 1/HOT_KEYS of the rows are salted, so there are fewer than HOT_KEYS of them.
 HOT_KEYS = 256
 HOT_KEYS_TRACKED = 8192
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """True if ``df`` is within both limits; looks at no more than ``max_rows + 1`` rows."""
-    size = F.coalesce(F.sum(row_bytes()), F.lit(0))
-    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    return n <= max_rows and b <= max_bytes
-
-
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """[key, salts] of the frequent keys: at most HOT_KEYS rows from one sketch aggregate.
 
@@ -67,10 +58,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` with a lookup on ``key`` (left, inner, left_semi or left_anti).
 
-    ``small`` tells that the lookup was counted already; else it is counted here.
+    ``small`` tells whether the lookup was found to fit; without it the lookup is staged, which
+    computes it once and counts it.
     """
     if small is None:
-        small = fits_broadcast(lookup)
+        lookup, small = lookup_side(lookup, "lookup", small=False)
     if small:
         return facts.join(F.broadcast(lookup), key, how)
     return salted_join(facts, lookup, key, how)

@@ -124,7 +124,7 @@ def q_tag_class_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookup = stage(tag_classes(class_lines(spark, sf_dir)), "classes")
+    lookup = tag_classes(class_lines(spark, sf_dir))
     return classify_terms(clean_terms_loose(document_terms(spark, sf_dir)), lookup)
 
 
@@ -141,7 +141,7 @@ def q_nature_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_nature_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nature_label(document_terms(spark, sf_dir), stage(nature_lookup(spark, sf_dir), "natures"))
+    return nature_label(document_terms(spark, sf_dir), nature_lookup(spark, sf_dir))
 
 
 # Pages
@@ -223,20 +223,19 @@ def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_tokens_with_nature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_with_nature(
-        document_tokens(spark, sf_dir), benchmark_words(spark, sf_dir), stage(user_words(spark, sf_dir), "user_words")
+        document_tokens(spark, sf_dir), benchmark_words(spark, sf_dir), user_words(spark, sf_dir)
     )
 
 
 def q_lexicon_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = stage(benchmark_words(spark, sf_dir), "lexicon")
-    matches = lexicon_matches(document_tokens(spark, sf_dir), lexicon)
+    matches = lexicon_matches(document_tokens(spark, sf_dir), benchmark_words(spark, sf_dir))
     return matches.groupBy("word", "nature").agg(
         F.count(F.lit(1)).alias("n"), F.sum("start").alias("starts"), F.sum("pos").alias("places")
     )
 
 
 def q_drop_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_stopwords(document_tokens(spark, sf_dir), stage(benchmark_words(spark, sf_dir), "stop"))
+    return drop_stopwords(document_tokens(spark, sf_dir), benchmark_words(spark, sf_dir))
 
 
 # Sources and sinks

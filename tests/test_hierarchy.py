@@ -3,7 +3,7 @@ import random
 import pytest
 
 from lexgraph.operators import hierarchy as h
-from lexgraph.plans import lookup, stage
+from lexgraph.plans import stage
 
 PATHS = [("root", ["root"]), ("food", ["root", "food"]), ("fruit", ["root", "food", "fruit"])]
 
@@ -13,7 +13,6 @@ def joins(request, monkeypatch):
     """Both ways of the lookup joins."""
     if request.param == "salted":
         monkeypatch.setattr(stage, "MAX_BROADCAST_ROWS", -1)
-        monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
     return request.param
 
 

@@ -30,7 +30,6 @@ def test_query(spark, duck, key):
 @pytest.mark.parametrize("key", LOOKUPS)
 def test_query_without_broadcast(spark, duck, key, monkeypatch):
     monkeypatch.setattr(stage, "MAX_BROADCAST_ROWS", -1)
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(lookup, "HOT_KEYS", 64)
     assert compare(entry.queries()[key](spark, SF_DIR), duck, entry.oracle_sql()[key]) == ""
 

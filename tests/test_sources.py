@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lexgraph.plans import lookup
-from lexgraph.plans.lookup import fits_broadcast, hot_keys, lookup_join, salted_join
+from lexgraph.plans import stage as stage_module
+from lexgraph.plans.lookup import hot_keys, lookup_join, salted_join
 from lexgraph.plans.stage import stage, stage_sized
 from lexgraph.sources import tables
 from lexgraph.sources.text import first_lines, path_scan, read_lenient, scan_kv_text, tag_class_scan
@@ -18,7 +18,8 @@ def test_scan_kv_text(spark, tmp_path):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_read_lenient(spark, tmp_path, monkeypatch, small):
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda df: small)
+    if not small:
+        monkeypatch.setattr(stage_module, "MAX_BROADCAST_ROWS", -1)
     (tmp_path / "utf8").write_bytes("中国 é\nplain\n".encode())
     (tmp_path / "gbk").write_bytes("plain\n中国\r\n学\n".encode("cp936"))
     got = {(r.path.rsplit("/", 1)[1], r.line) for r in read_lenient(spark, str(tmp_path)).collect()}
@@ -111,11 +112,9 @@ def test_hot_keys_are_few_and_found(spark):
 
 def test_size_checks(spark):
     df = spark.range(100).toDF("a")
-    assert fits_broadcast(df)
-    assert not fits_broadcast(df, max_rows=99)
-    assert not fits_broadcast(df, max_bytes=500)
-    assert fits_broadcast(df.where("a > 1000"))
     staged = stage_sized(df, "t")
-    assert (staged.rows, staged.small, staged.df.count()) == (100, True, 100)
+    assert (staged.rows, staged.size, staged.small, staged.df.count()) == (100, 790, True, 100)
+    assert not staged._replace(rows=10**6).small
+    assert not staged._replace(size=10**9).small
     assert stage_sized(df.where("a > 1000"), "t").rows == 0
     assert "Scan parquet" in stage(df, "t")._jdf.queryExecution().executedPlan().toString().replace("FileScan", "Scan")

@@ -2,7 +2,7 @@ import pytest
 
 from lexgraph.operators.synonyms import synonyms
 from lexgraph.operators.tokens import drop_stopwords, lexicon_matches, tokenize, tokens_with_nature
-from lexgraph.plans import lookup
+from lexgraph.plans import stage
 
 ROWS = [
     ("中国", "中国", "词义,历史", "中国 古代中国 中国词义 中国历史"),
@@ -16,7 +16,7 @@ ROWS = [
 @pytest.fixture(params=["broadcast", "salted"])
 def joins(request, monkeypatch):
     if request.param == "salted":
-        monkeypatch.setattr(lookup, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(stage, "MAX_BROADCAST_ROWS", -1)
     return request.param
 
 
