@@ -73,17 +73,24 @@ def csv_items(squeezed: Column) -> Column:
     return F.when(squeezed == "", nothing).otherwise(F.split(squeezed, ","))
 
 
-def run_counts(ordered: Column) -> Column:
-    """[(item, n)] of the distinct items of a sorted array column, counted inside the row."""
-    places = F.sequence(F.lit(0), F.size(ordered) - 1)
-    starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    bounds = F.array_append(starts, F.size(ordered))
-    runs = F.zip_with(bounds, F.slice(bounds, 2, F.size(bounds)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    counted = F.transform(
-        F.filter(runs, lambda r: r["b"].isNotNull()),
-        lambda r: F.struct(F.get(ordered, r["a"]).alias("item"), (r["b"] - r["a"]).cast("long").alias("n")),
-    )
-    return F.when(F.size(ordered) > 0, counted).otherwise(F.array().cast("array<struct<item:string,n:bigint>>"))
+def run_ends(ordered: Column) -> Column:
+    """End positions (from 1) of the runs of equal items of a sorted array column."""
+    places = F.sequence(F.lit(1), F.size(ordered))
+    # Beyond either end of the array there is null, so the last item ends a run and an empty array has none.
+    return F.filter(places, lambda e: ~F.get(ordered, e).eqNullSafe(F.get(ordered, e - 1)))
+
+
+def run_counts(ordered: Column, ends: Column) -> Column:
+    """[(item, n)] of the distinct items of a sorted array column, counted inside the row.
+
+    ``ends`` is ``run_ends`` as a column of its own: it is looked at once per run.
+    """
+
+    def run(e: Column, k: Column) -> Column:
+        before = F.coalesce(F.get(ends, k - 1), F.lit(0))
+        return F.struct(F.get(ordered, e - 1).alias("item"), (e - before).cast("long").alias("n"))
+
+    return F.transform(ends, run)
 
 
 def replace_each(c: Column, items: Column, by: str = " ") -> Column:

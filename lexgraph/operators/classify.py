@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.functions.strings import run_counts
+from lexgraph.functions.strings import run_counts, run_ends
 from lexgraph.plans.lookup import hot_keys, lookup_join, salted_join
 
 
@@ -29,13 +29,14 @@ def related_by_class(classified: DataFrame, no_class: int = -1) -> DataFrame:
 
     Most frequent first, equal counts by falling term. Repeats are counted inside each term's
     list before anything moves. The join of related terms with their class is between two sides
-    as large as the data, so it is never broadcast, and terms that very many others list are
+    as large as the data, so it is a shuffle join, and terms that very many others list are
     salted. The lists collected at the end are parts of one term's own list. ``classified`` is
     read several times and should be a staged table.
     """
     listed = (
-        classified.select("word", "cls", F.array_sort("relwords").alias("ordered"))
-        .select("word", "cls", F.inline(run_counts(F.col("ordered"))))
+        classified.select("word", "cls", F.sort_array("relwords").alias("ordered"))
+        .withColumn("ends", run_ends(F.col("ordered")))
+        .select("word", "cls", F.inline(run_counts(F.col("ordered"), F.col("ends"))))
         .withColumnRenamed("item", "rel")
     )
     hot = hot_keys(classified.select(F.explode("relwords").alias("rel")), "rel")
@@ -43,7 +44,9 @@ def related_by_class(classified: DataFrame, no_class: int = -1) -> DataFrame:
     joined = salted_join(listed, classes, "rel", "left", hot).withColumn(
         "relcls", F.coalesce(F.col("relcls"), F.lit(no_class))
     )
-    grouped = joined.groupBy("word", "cls", "relcls").agg(
+    # Moved as rows: lists begun before the exchange would combine almost nothing.
+    moved = joined.repartition("word", "cls", "relcls")
+    grouped = moved.groupBy("word", "cls", "relcls").agg(
         F.sort_array(F.collect_list(F.struct("n", "rel")), asc=False).alias("items")
     )
     shown = F.transform("items", lambda s: F.concat_ws("/", s["rel"], s["n"].cast("string")))

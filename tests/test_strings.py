@@ -76,5 +76,6 @@ def test_rules_against_restatement(spark, values):
 
 def test_run_counts(spark):
     df = spark.createDataFrame([(["b", "a", "b", "a", "b"],), ([],), (["x"],)], "v array<string>")
-    got = df.select(F.array_sort("v").alias("v")).select(s.run_counts(F.col("v")).alias("r")).collect()
+    ended = df.select(F.array_sort("v").alias("v")).withColumn("e", s.run_ends(F.col("v")))
+    got = ended.select(s.run_counts(F.col("v"), F.col("e")).alias("r")).collect()
     assert [[tuple(x) for x in r.r] for r in got] == [[("a", 2), ("b", 3)], [], [("x", 1)]]
