@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexgraph.functions.strings import jsplit
 from lexgraph.plans.lookup import lookup_join
-from lexgraph.plans.stage import Staged, lookup_side, new_path, stage, stage_sized
+from lexgraph.plans.stage import MAX_BROADCAST_ROWS, Staged, lookup_side, new_path, stage, stage_sized
 
 
 def tag_edges(cooccur: DataFrame, thres: float, min_co: int = 10) -> DataFrame:
@@ -37,8 +37,8 @@ class TagLayers(NamedTuple):
     layers: DataFrame  # [tag, layer]
 
 
-def _rounds(edges: Staged) -> DataFrame:
-    """[child, parent, round]: the round in which the parent is nobody's child any more.
+def _rounds(edges: Staged) -> tuple[DataFrame, int]:
+    """[child, parent, round], the round in which the parent is nobody's child any more; and their number.
 
     Each round takes away the edges of the current top tags. Equal to one plus the longest path
     from a root to the parent. A round that takes nothing away has met a cycle.
@@ -70,9 +70,9 @@ def _rounds(edges: Staged) -> DataFrame:
         read = spark.read.schema("child string, parent string, is_top int").parquet(f"{root}/round={rnd}")
         rest = read.where("is_top = 0").select("child", "parent")
     if not rnd:
-        return edges.df.withColumn("round", F.lit(0))
+        return edges.df.withColumn("round", F.lit(0)), 0
     read = spark.read.schema("child string, parent string, is_top int, round int").parquet(root)
-    return read.where("is_top = 1").select("child", "parent", "round")
+    return read.where("is_top = 1").select("child", "parent", "round"), rnd
 
 
 def tag_layers(edges: DataFrame) -> TagLayers:
@@ -83,7 +83,7 @@ def tag_layers(edges: DataFrame) -> TagLayers:
     is its longest distance from a root. A root whose edges are all dropped disappears.
     """
     start = stage_sized(edges.select("child", "parent").distinct(), "edges")
-    rounds = _rounds(start)
+    rounds, n_rounds = _rounds(start)
     # Rounds in which a tag is the child of a top: at most one entry per layer and tag.
     child_in, small = lookup_side(
         rounds.groupBy(F.col("child").alias("parent")).agg(F.collect_set("round").alias("rs")),
@@ -97,7 +97,7 @@ def tag_layers(edges: DataFrame) -> TagLayers:
         .groupBy("child")
         .agg(F.collect_set("r").alias("skip")),
         "skips",
-        start.small,
+        start.small and start.rows * n_rounds <= MAX_BROADCAST_ROWS,
     )
     no_skip = F.col("skip").isNull() | ~F.array_contains("skip", F.col("round"))
     marked = lookup_join(rounds, skips, "child", small=skips_small)

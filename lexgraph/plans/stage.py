@@ -30,7 +30,9 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/lexgraph/{label}-{uuid.uuid4().hex}"
+    """A new place in this application's own folder, which can be removed when the application is over."""
+    app = spark.sparkContext.applicationId
+    return f"{stage_root(spark)}/lexgraph/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def row_bytes():
