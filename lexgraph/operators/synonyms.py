@@ -53,8 +53,7 @@ def synonyms(
     # The stripped string is a column of its own: the split looks at it several times.
     rows = rows.withColumn("left", replace_each(F.col("meta_keywords"), removed))
     left = jsplit(F.col("left"), " \t", run=True)
-    other = (F.col("word"), F.col("input"))
-    found = F.filter(F.array_distinct(left), lambda k: (k != other[0]) & (k != other[1]))
+    found = F.array_remove(F.array_remove(F.array_distinct(left), F.col("word")), F.col("input"))
     if drop_empty:
         found = F.array_remove(found, "")
     if min_len is not None:
