@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 WHITE = "[\\x20\\x09-\\x0D]+"
 
@@ -57,7 +58,7 @@ def bounded_sample(rows: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def arrow_pass(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, run_bytes: int = RUN_BYTES
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, run_bytes: int = RUN_BYTES
 ) -> DataFrame:
     """``work`` over runs of rows of about ``run_bytes``, in place: no row moves."""
 

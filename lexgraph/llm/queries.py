@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, langid, quality, toxicity
+from lexgraph.llm import bpe, langid, neardup, quality, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 
 
@@ -23,6 +23,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(documents(spark, sf_dir), bpe.read_vocabulary(tokenizer_path()))
 
@@ -50,10 +54,16 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), neardup.NearDup(shingle=3, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_substring": op2_substring,
     "op3_bpe": op3_bpe,
     "op5_toxicity": op5_toxicity,
     "op7_langid": op7_langid,
+    "op8_neardup": op8_neardup,
 }
 ORACLES: dict[str, str] = {}
