@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, langid, neardup, quality, substring, toxicity
+from lexgraph.llm import bpe, langid, lm, neardup, quality, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 
 
@@ -58,6 +58,13 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), neardup.NearDup(shingle=3, percent=85))
 
 
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 7, 2)
+    scored = lm.score_texts(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_substring": op2_substring,
@@ -65,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
+    "op10_ctw": op10_ctw,
 }
 ORACLES: dict[str, str] = {}
