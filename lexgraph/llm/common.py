@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-WHITE = "[\\x20\\x09-\\x0D]+"
+from lexgraph.plans.stage import stage_sized
 
 # Texts are worked on in runs of about so many bytes, which bounds what a Python worker holds.
 RUN_BYTES = 4 << 20
@@ -88,6 +88,13 @@ def shared(spark: SparkSession, model: tuple) -> Callable[[], tuple]:
     return lambda: kind(*sent.value)
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose id is not in ``gone`` [doc_id]; rows with a null id stay."""
+    staged = stage_sized(gone.select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    side = F.broadcast(staged.df) if staged.small else staged.df
+    return docs.join(side, docs["doc_id"] == side["__gone"], "left_anti")
+
+
 def text_rows(df: DataFrame, *columns: str | Column) -> DataFrame:
     """[*columns, text] with the text as bytes; null texts are empty."""
     return df.select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))

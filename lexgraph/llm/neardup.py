@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexgraph.llm.common import MIX, WordHash, by_value, column, grams, mixed, runs, text_rows, texts
+from lexgraph.llm.common import MIX, WordHash, by_value, column, grams, mixed, runs, text_rows, texts, without
 from lexgraph.plans.stage import stage, stage_sized
 
 by_value(__name__)
@@ -267,7 +267,5 @@ def keep_one(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 
     Of rows that repeat an id all stay if it is the component's; documents without words stay.
     """
-    gone = near_duplicates(docs.select("doc_id", "text"), p).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    staged = stage_sized(gone, "gone")
-    side = F.broadcast(staged.df) if staged.small else staged.df
-    return docs.join(side, docs["doc_id"] == side["__gone"], "left_anti")
+    found = near_duplicates(docs.select("doc_id", "text"), p)
+    return without(docs, found.where(~F.col("kept")))

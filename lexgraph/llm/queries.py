@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, langid, lm, neardup, quality, substring, toxicity
+from lexgraph.llm import bpe, decontam, langid, lm, neardup, quality, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 
 
@@ -58,6 +58,11 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), neardup.NearDup(shingle=3, percent=85))
 
 
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontam.contaminated(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+
+
 def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = in_fold(F.col("doc_id"), 7, 2)
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
+    "op9_decontam": op9_decontam,
     "op10_ctw": op10_ctw,
 }
 ORACLES: dict[str, str] = {}
