@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, decontam, langid, lm, neardup, quality, substring, toxicity
+from lexgraph.llm import bpe, decontam, langid, lm, neardup, quality, rules, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 
 
@@ -31,6 +31,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(documents(spark, sf_dir), bpe.read_vocabulary(tokenizer_path()))
 
 
+def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir).select("doc_id", "text", "lang")).drop("class_distance", "word_distance")
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the public vocabulary file is: in the folder LEXGRAPH_TOKENIZERS, by default /opt/tokenizers."""
     import os
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_substring": op2_substring,
     "op3_bpe": op3_bpe,
+    "op4_rules": op4_rules,
     "op5_toxicity": op5_toxicity,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
