@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, decontam, langid, lm, neardup, quality, rules, substring, toxicity
+from lexgraph.llm import bpe, decontam, langid, licenses, lm, neardup, quality, rules, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 
 
@@ -51,6 +51,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of a tree: its source, then directories of 5,000 and of 100 ids; each of the smaller ones
+    begins with a licence file, so that texts without a notice of their own have something to inherit."""
+    docs = documents(spark, sf_dir)
+    name = F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    folder = lambda size: F.floor(F.col("doc_id") / size).cast("string")
+    files = docs.select(F.col("doc_id").alias("file_id"), F.concat_ws("/", "source", folder(5_000), folder(100), name).alias("path"), "text")
+    return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.train_languages(docs.where(~in_fold(F.col("doc_id"), 4, 2)))
@@ -80,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_rules": op4_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
     "op9_decontam": op9_decontam,
