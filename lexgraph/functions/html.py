@@ -259,19 +259,32 @@ FIELDS = {
 
 
 def parse_html(c: Column, fields: tuple[str, ...], selectors: Selectors = Selectors()) -> Column:
-    """Struct of the asked raw fields of each page; a page that cannot be read gives empty fields."""
+    """Struct of the asked raw fields of each page and ``failed``.
+
+    If a page cannot be read, its fields are read one by one: those that can be keep their values, the others
+    are empty, and ``failed`` is true.
+    """
     wanted = frozenset(fields)
-    arrow = pa.struct([(f, FIELDS[f][0]) for f in fields])
-    ddl = ", ".join(f"{f}: {FIELDS[f][1]}" for f in fields)
+    arrow = pa.struct([*((f, FIELDS[f][0]) for f in fields), ("failed", pa.bool_())])
+    ddl = ", ".join([*(f"{f}: {FIELDS[f][1]}" for f in fields), "failed: boolean"])
     blank = {f: [] if pa.types.is_list(FIELDS[f][0]) else "" for f in fields}
 
     def one(page: str | None) -> dict:
         if not page:
-            return blank
+            return blank | {"failed": False}
         try:
-            return scan_page(page, wanted, selectors)
-        except Exception:
-            return blank
+            return scan_page(page, wanted, selectors) | {"failed": False}
+        except Exception:  # whatever a broken page does to the scanner
+            return blank | one_by_one(page) | {"failed": True}
+
+    def one_by_one(page: str) -> dict:
+        found = {}
+        for field in fields:
+            try:
+                found |= scan_page(page, frozenset([field]), selectors)
+            except Exception:  # only this field stays empty
+                continue
+        return found
 
     @F.arrow_udf(f"struct<{ddl}>")
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

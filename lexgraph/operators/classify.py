@@ -12,12 +12,14 @@ from lexgraph.plans.lookup import hot_keys, lookup_join, salted_join
 def classify_terms(terms: DataFrame, tag_class: DataFrame) -> DataFrame:
     """[word, relwords, cls] of the terms with at least one tag in ``tag_class`` [tag, cls].
 
-    The class with most tags wins, the smallest class number if several do. ``terms`` must have
+    The class with most tags wins, the smallest class number if several do. A tag that is repeated in
+    ``tag_class`` has its largest class only. ``terms`` must have
     one row per word. The related lists stay out of the vote and are joined back on the word, on
     which both sides are already partitioned.
     """
     tags = terms.select("word", F.explode("tags").alias("tag"))
-    votes = lookup_join(tags, tag_class.select("tag", "cls"), "tag", "inner").groupBy("word", "cls").count()
+    one_class = tag_class.groupBy("tag").agg(F.max("cls").alias("cls"))
+    votes = lookup_join(tags, one_class, "tag", "inner").groupBy("word", "cls").count()
     voted = votes.groupBy("word").agg(
         F.max(F.struct("count", (-F.col("cls")).alias("low"), F.col("cls").alias("cls")))["cls"].alias("cls")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexgraph.functions.strings import run_counts, run_ends
 from lexgraph.plans.lookup import lookup_join
 from lexgraph.plans.stage import lookup_side, stage_sized
 
@@ -26,14 +27,11 @@ def tag_cooccur(terms: DataFrame, drop_empty_tags: bool = False) -> DataFrame:
     the tag counts, and only that small result is joined.
     """
     tags = F.filter("tags", lambda t: t != "") if drop_empty_tags else F.col("tags")
-    listed = terms.select(tags.alias("tags")).select(
-        F.transform(
-            F.array_distinct("tags"),
-            lambda t: F.struct(
-                t.alias("tag"), F.size(F.filter(F.col("tags"), lambda x: x == t)).cast("long").alias("m")
-            ),
-        ).alias("tags")
+    ordered = terms.select(F.sort_array(tags).alias("ordered")).withColumn("ends", run_ends(F.col("ordered")))
+    counted_tags = F.transform(
+        run_counts(F.col("ordered"), F.col("ends")), lambda r: F.struct(r["item"].alias("tag"), r["n"].alias("m"))
     )
+    listed = ordered.select(counted_tags.alias("tags"))
     pairs = (
         listed.select("tags", F.explode("tags").alias("low"))
         .select("low", F.explode(F.filter("tags", lambda t: t["tag"] >= F.col("low.tag"))).alias("high"))

@@ -134,11 +134,11 @@ def tag_paths_for_terms(terms: DataFrame, paths: DataFrame) -> DataFrame:
 
     Each tag of a term gets its path; the best tag is the one whose path holds most of the
     term's tags, the earliest such tag if several do. Tags without a path count as a path of
-    one empty element. Work lists are as long as one term's tag list.
+    one empty element; of repeated tags in ``paths`` the largest path counts. Work lists are as long as one term's tag list.
     """
     distinct = terms.groupBy("word", "tags").agg(F.count(F.lit(1)).alias("copies"))
     unrolled = distinct.select("word", "tags", "copies", F.posexplode("tags").alias("pos", "tag"))
-    found = lookup_join(unrolled, paths.select("tag", "path"), "tag")
+    found = lookup_join(unrolled, paths.groupBy("tag").agg(F.max("path").alias("path")), "tag")
     path = F.coalesce(F.col("path"), F.array(F.lit("")))
     item = F.struct(
         (-F.size(F.filter("tags", lambda t: F.array_contains(path, t)))).alias("k"),

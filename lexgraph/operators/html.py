@@ -6,7 +6,7 @@ count and how they are written is decided by native array functions afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexgraph.functions.html import Selectors, parse_html
@@ -43,17 +43,21 @@ def extract_html(
     strip: str = "#viewPageContent",
     selectors: Selectors = Selectors(),
     partitions: int | None = None,
+    failures: Observation | None = None,
 ) -> DataFrame:
     """The columns of ``df`` without ``html``, plus one column per asked field.
 
     links, tags, toc, meta are arrays of strings; input, body_text and the first_* fields (href, text,
     outer and inner source of the first link) are strings. Missing pages give empty fields.
     ``partitions`` spreads the pages first, for input of few unsplittable files; it moves every page.
+    ``failures`` gets ``failed``, the number of pages with a field that could not be read and is empty.
     """
     if partitions:
         df = df.repartition(partitions)
     others = [c for c in df.columns if c != html]
     parsed = df.select(*others, parse_html(F.col(html), fields, selectors).alias("__page"))
+    if failures is not None:
+        parsed = parsed.observe(failures, F.count_if(F.col("__page.failed")).alias("failed"))
     shaped = {
         "links": related_links(F.col("__page.links"), link_prefix, drop_suffixes, strip),
         "toc": toc_entries(F.col("__page.toc")),

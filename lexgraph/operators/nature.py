@@ -35,7 +35,7 @@ def nature_scan(df: DataFrame, word: str = "bk_word", tags: str = "bk_tags") ->
 def nature_label(df: DataFrame, lookup: DataFrame, word: str = "bk_word", tags: str = "bk_tags") -> DataFrame:
     """[word, tags, nature, word_len], one row per base term that has a tag in the lookup.
 
-    The nature is that of the first listed tag with one. Of several senses the one with most
+    The nature is that of the first listed tag with one; of repeated tags in the lookup the largest counts. Of several senses the one with most
     tags is kept, equal counts by the tags themselves. Equal senses are merged first; both
     aggregates have a map-side part, so a word with very many senses is spread by its tags.
     """
@@ -46,7 +46,7 @@ def nature_label(df: DataFrame, lookup: DataFrame, word: str = "bk_word", tags:
     )
     unrolled = senses.select("word", "tags", F.posexplode("tags").alias("pos", "tag"))
     mapped = (
-        lookup_join(unrolled, lookup.select("tag", "nature"), "tag", "inner")
+        lookup_join(unrolled, lookup.groupBy("tag").agg(F.max("nature").alias("nature")), "tag", "inner")
         .groupBy("word", "tags")
         .agg(F.min(F.struct("pos", "nature"))["nature"].alias("nature"))
     )

@@ -22,28 +22,15 @@ def clean_terms(
     """[word, relwords, tags], one row per base term.
 
     Of several senses ("x/a", "x/b") the one with the most related terms is kept; equal counts
-    are settled by the lists themselves. ``strict_tags=False`` lets an empty tag string pass as
-    one empty tag (a string of commas never passes). ``as_csv`` keeps the lists as comma-joined
-    strings, tags as they were found.
+    are settled by the tags, then by the related terms. ``strict_tags=False`` lets an empty tag
+    string pass as one empty tag (a string of commas never passes). ``as_csv`` keeps the lists as
+    comma-joined strings, tags as they were found.
 
     Lists stay strings up to the end: one exchange on the word with a map-side partial
     aggregate, so a word with very many senses is reduced before it is moved.
     """
-    w = jtrim(F.col(word))
-    rel = jtrim(F.coalesce(F.col(relwords), F.lit("")))
-    tag = jtrim(F.coalesce(F.col(tags), F.lit("")))
-    has_tag = F.rtrim(F.col("tags"), F.lit(",")) != ""
-    if not strict_tags:
-        has_tag = has_tag | (F.col("tags") == "")
-    kept = (
-        df.select(w.alias("w"), rel.alias("rel"), tag.alias("tags"))
-        .where(F.length("w").between(min_len, max_len) & ~F.col("w").startswith("/") & has_tag)
-        .where(at_least(F.col("rel"), min_rel))
-        .select(base_term(F.col("w")).alias("word"), clean_csv(F.col("rel")).alias("rel"), "tags")
-    )
-    best = kept.groupBy("word").agg(
-        F.max(F.struct(csv_size(F.col("rel")).alias("n"), "rel", "tags")).alias("best")
-    )
+    kept = term_senses(df, word, relwords, tags, min_len, max_len, min_rel, strict_tags)
+    best = kept.groupBy("word").agg(F.max(F.struct(csv_size(F.col("rel")).alias("n"), "tags", "rel")).alias("best"))
     if as_csv:
         return best.select("word", F.col("best.rel").alias("relwords"), F.col("best.tags").alias("tags"))
     return best.select(
@@ -51,6 +38,33 @@ def clean_terms(
     )
 
 
+def term_senses(
+    df: DataFrame, word: str, relwords: str, tags: str, min_len: int, max_len: int, min_rel: int, strict_tags: bool
+) -> DataFrame:
+    """[word, rel, tags] of the rows that pass, under their base term; lists are still strings."""
+    w = jtrim(F.col(word))
+    tag = jtrim(F.coalesce(F.col(tags), F.lit("")))
+    has_tag = F.rtrim(tag, F.lit(",")) != ""
+    if not strict_tags:
+        has_tag = has_tag | (tag == "")
+    # The cheap conditions first: the long list is only trimmed where they hold.
+    short = df.where(F.length(w).between(min_len, max_len) & ~w.startswith("/") & has_tag)
+    rel = jtrim(F.coalesce(F.col(relwords), F.lit("")))
+    return short.where(at_least(rel, min_rel)).select(
+        base_term(w).alias("word"), clean_csv(rel).alias("rel"), tag.alias("tags")
+    )
+
+
+def clean_tags_loose(df: DataFrame, word: str = "bk_word", relwords: str = "bk_relwords", tags: str = "bk_tags") -> DataFrame:
+    """[word, tags] of ``clean_terms_loose`` for counting tags: the related lists are counted where they are read, not moved.
+
+    The tags of the best sense are those of the largest (count, tags), as ties go by the tags first.
+    """
+    kept = term_senses(df, word, relwords, tags, 1, 23, 3, strict_tags=False)
+    slim = kept.select("word", F.struct(csv_size(F.col("rel")).alias("n"), "tags").alias("sense"))
+    return slim.groupBy("word").agg(F.max("sense")["tags"].alias("tags")).select("word", jsplit(F.col("tags")).alias("tags"))
+
+
 def clean_terms_loose(df: DataFrame, **kwargs) -> DataFrame:
     """The variant used for tag counts and classes: words of one character, empty tag strings."""
     return clean_terms(df, min_len=1, strict_tags=False, **kwargs)

@@ -35,30 +35,26 @@ def tokens_with_nature(
 def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
     """[*columns of tokens, start, word, nature]: longest lexicon word at each place of a token.
 
-    For scripts without blanks, where a token is a whole phrase. One linear regex pass cuts, at
-    each place, the next characters up to the longest lexicon word. Places whose first character
-    begins no word are dropped, the others are unrolled to their prefixes up to the longest word
-    with that character, and the prefixes are joined with the lexicon. Matches may overlap;
-    nothing is disambiguated.
+    For scripts without blanks, where a token is a whole phrase. Each place whose character begins a
+    word is unrolled to the prefixes of the lengths that words with that character have, no others, so one
+    very long word adds one prefix to its places. One join with the lexicon brings the codes, one aggregate
+    keeps the longest. Matches may overlap; nothing is disambiguated.
     """
     words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != ""), "lexicon", small=False)
     head = F.substring("word", 1, 1).alias("head")
-    # One row per character that begins a word: no more than there are characters.
-    heads = words.groupBy(head).agg(F.max(F.length("word")).alias("longest"))
-    longest = words.agg(F.max(F.length("word"))).first()[0] or 1
-    window = F.regexp_extract_all(F.col("token"), F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{1,{longest}}}))"), F.lit(1))
-    places = tokens.select(*tokens.columns, F.posexplode(window).alias("start", "ahead")).withColumn(
-        "head", F.substring("ahead", 1, 1)
-    )
+    # One row per character that begins a word, with its distinct word lengths.
+    heads = words.groupBy(head).agg(F.collect_set(F.length("word")).alias("lengths"))
+    characters = F.regexp_extract_all(F.col("token"), F.lit(r"(?s)(.)"), F.lit(1))
+    places = tokens.select(*tokens.columns, F.posexplode(characters).alias("start", "head"))
+    fits = F.filter("lengths", lambda n: F.col("start") + n <= F.length("token"))
     prefixes = (
         places.join(F.broadcast(heads), "head")
-        .select(*tokens.columns, "start", "ahead", F.explode(F.sequence(F.lit(1), F.least(F.length("ahead"), "longest"))).alias("n"))
-        .select(*tokens.columns, "start", "n", F.substring("ahead", F.lit(1), F.col("n")).alias("word"))
+        .select(*tokens.columns, "start", F.explode(fits).alias("n"))
+        .withColumn("word", F.substring("token", F.col("start") + 1, F.col("n")))
     )
-    hits = lookup_join(prefixes, words.select("word"), "word", "left_semi", small)
-    found = hits.groupBy(*tokens.columns, "start").agg(F.max("n").alias("n"))
-    named = found.withColumn("word", F.substring("token", F.col("start") + 1, F.col("n")))
-    return lookup_join(named, words, "word", "inner", small).select(*tokens.columns, "start", "word", "nature")
+    hits = lookup_join(prefixes, words, "word", "inner", small)
+    found = hits.groupBy(*tokens.columns, "start").agg(F.max(F.struct("n", "word", "nature")).alias("best"))
+    return found.select(*tokens.columns, "start", F.col("best.word").alias("word"), F.col("best.nature").alias("nature"))
 
 
 def drop_stopwords(tokens: DataFrame, stop: DataFrame) -> DataFrame:

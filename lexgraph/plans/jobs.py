@@ -15,7 +15,7 @@ from lexgraph.operators.hierarchy import csv_tags, tag_edges, tag_layers, tag_pa
 from lexgraph.operators.html import page_keywords, page_terms
 from lexgraph.operators.nature import default_natures, nature_label
 from lexgraph.operators.synonyms import synonyms
-from lexgraph.operators.terms import clean_terms, clean_terms_loose
+from lexgraph.operators.terms import clean_tags_loose, clean_terms, clean_terms_loose
 from lexgraph.plans.stage import stage
 from lexgraph.sources.tables import snapshot_scan, write_lines, write_snapshot, write_table
 from lexgraph.sources.text import path_scan, scan_kv_text, tag_class_scan
@@ -41,7 +41,7 @@ def filter_terms(spark: SparkSession, src: str, table: str, stat_date: str | Non
 
 def count_tag_pairs(spark: SparkSession, src: str, table: str, dt: str, stat_date: str | None = None) -> None:
     """Term table to pair table [tag1, tag2, tag1num, tag2num, twotagnum]; counts are bigint."""
-    terms = clean_terms_loose(snapshot_scan(spark, src, stat_date, TERM_COLUMNS))
+    terms = clean_tags_loose(snapshot_scan(spark, src, stat_date, TERM_COLUMNS))
     write_snapshot(tag_cooccur(terms), table, dt)
 
 

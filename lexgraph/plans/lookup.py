@@ -2,8 +2,8 @@
 
 The lookup is broadcast only after its rows and bytes were counted. Beyond the limit the join
 is a shuffle join in which frequent keys of the large side are salted: a key with share ``s``
-of the rows is spread over about ``s`` times the shuffle partitions, and only the lookup rows of
-those keys are repeated. Salting changes where rows go, never which rows match.
+of the rows, if that is more than a fair partition, is spread over about ``s`` times the shuffle
+partitions, and only the lookup rows of those keys are repeated. Salting changes where rows go, never which rows match.
 """
 
 from __future__ import annotations
@@ -11,42 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.plans.stage import lookup_side
+from lexgraph.plans.stage import lookup_side, stage
 
-# Keys above 1/HOT_KEYS of the rows are salted, so there are fewer than HOT_KEYS of them.
+# A key is salted if it has more rows than a fair partition, and in any case above 1/HOT_KEYS of the rows.
 HOT_KEYS = 256
-HOT_KEYS_TRACKED = 8192
+# What the sketch can tell apart; it bounds the table of frequent keys.
+MOST_HOT_KEYS = 20_000
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """[key, salts] of the frequent keys: at most HOT_KEYS rows from one sketch aggregate.
+    """[key, salts] of the frequent keys, staged: at most MOST_HOT_KEYS rows from one sketch aggregate.
 
-    The sketch only decides which keys get salted; a miss costs time, not correctness.
+    The sketch only decides which keys get salted; a miss costs time, not correctness, as both sides of a join
+    read the one staged table.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = min(max(partitions, HOT_KEYS), MOST_HOT_KEYS)
     seen = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS_TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {limit}, {min(8 * MOST_HOT_KEYS, 32 * limit)})").alias("top"),
         F.count(F.lit(1)).alias("total"),
     ).select(F.explode("top").alias("t"), "total")
     share = F.col("t.count") / F.col("total")
-    return seen.where((F.col("t.count") * HOT_KEYS > F.col("total")) & F.col("t.item").isNotNull()).select(
+    found = seen.where((F.col("t.count") * limit > F.col("total")) & F.col("t.item").isNotNull()).select(
         F.col("t.item").alias(key), F.greatest(F.lit(2), F.ceil(share * partitions)).cast("int").alias("salts")
     )
+    return stage(found, "hot_keys")
 
 
 def salted_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None
 ) -> DataFrame:
-    """Shuffle join on ``key`` with the frequent keys of ``facts`` spread over salts.
+    """Shuffle join on ``key`` with the frequent keys of ``facts``, and its null keys, spread over salts.
 
-    ``hot`` gives the frequent keys where they are cheaper to find than from ``facts``.
+    ``hot`` gives the frequent keys where they are cheaper to find than from ``facts``; it must be a staged table.
     """
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot_keys(facts.select(key), key) if hot is None else hot)
     # A hash of the row, not rand(): a recomputed task must put each row where it was before.
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    salted = facts.join(hot, key, "left").withColumn(
-        "__salt", F.coalesce(F.pmod(spread, F.col("salts")).cast("int"), F.lit(0))
-    )
+    salts = F.coalesce(F.when(F.col(f"`{key}`").isNull(), F.lit(partitions)), F.col("salts"), F.lit(1))
+    salted = facts.join(hot, key, "left").withColumn("__salt", F.pmod(spread, salts).cast("int"))
     repeated = lookup.join(hot, key, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
     )

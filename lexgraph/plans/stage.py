@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+# Of the written files, which are compressed.
+MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -35,9 +36,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{stage_root(spark)}/lexgraph/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def row_bytes():
-    """Bytes of a row, written out."""
-    return F.octet_length(F.to_json(F.struct("*")))
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``; only their listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged. Results that were returned lazily and not yet read are lost with it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/lexgraph/{spark.sparkContext.applicationId}")
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 class Staged(NamedTuple):
@@ -55,18 +63,21 @@ class Staged(NamedTuple):
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame over the written table."""
+    return _write(df, label)[0]
+
+
+def _write(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stage_sized(df: DataFrame, label: str) -> Staged:
-    """``stage`` that also counts rows and bytes, in the same job."""
+    """``stage`` that also counts rows, in the same job, and the bytes written."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes()).alias("size"))
-    staged = stage(counted, label)
-    return Staged(staged, seen.get["rows"], seen.get["size"] or 0)
+    staged, path = _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return Staged(staged, seen.get["rows"], written_bytes(df.sparkSession, path))
 
 
 def lookup_side(df: DataFrame, label: str, small: bool) -> tuple[DataFrame, bool]:

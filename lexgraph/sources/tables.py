@@ -41,8 +41,13 @@ def quoted(table: str) -> str:
     return ".".join(f"`{part}`" for part in table.replace("`", "").split("."))
 
 
+def literal(value: str | int) -> str:
+    """A SQL string literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_table(df: DataFrame, table: str, tail: str, more: str = "", location: str | None = None) -> None:
-    place = f" LOCATION '{location}'" if location else ""
+    place = f" LOCATION {literal(location)}" if location else ""
     df.sparkSession.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({check_flat(df)}{more}) USING parquet {tail}{place}"
     )
@@ -55,10 +60,11 @@ def write_snapshot(
 
     Other dates stay; an empty ``df`` empties the partition. Columns go in by position.
     """
+    if part_type not in {t.simpleString() for t in FLAT_TYPES.values()}:
+        raise TypeError(f"not a flat type: {part_type}")
     create_table(df, table, "PARTITIONED BY (stat_date)", f", stat_date {part_type}", location)
-    literal = "'" + str(dt).replace("\\", "\\\\").replace("'", "\\'") + "'"
     df.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal}) SELECT * FROM {{df}}", df=df
+        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal(dt)}) SELECT * FROM {{df}}", df=df
     )
 
 

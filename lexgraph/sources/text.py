@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lexgraph.functions.strings import jsplit, jtrim
 from lexgraph.plans.lookup import lookup_join
+from lexgraph.plans.stage import lookup_side
 
 
 def scan_kv_text(
@@ -48,11 +49,12 @@ def read_lenient(spark: SparkSession, path: str, fallback: str = "cp936") -> Dat
 
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
     bad = (
-        lines.where(~F.is_valid_utf8("value")).select("path").distinct().withColumn("bad", F.lit(True))
+        lines.where(~F.is_valid_utf8("value")).select("path").distinct()
     )
-    marked = lookup_join(lines, bad, "path")
-    raw = F.when(F.col("bad"), F.col("value").cast("binary"))
-    return marked.select("path", F.coalesce(decoded(raw), F.col("value")).alias("line"))
+    bad, small = lookup_side(bad, "bad_files", small=False)
+    good = lookup_join(lines, bad, "path", "left_anti", small).select("path", F.col("value").alias("line"))
+    again = lookup_join(lines, bad, "path", "left_semi", small)
+    return good.unionByName(again.select("path", decoded(F.col("value").cast("binary")).alias("line")))
 
 
 def tag_class_scan(spark: SparkSession, path: str) -> DataFrame:

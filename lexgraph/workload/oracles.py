@@ -6,12 +6,30 @@ that need them.
 
 from __future__ import annotations
 
+from lexgraph.operators.nature import TAG_NATURE
+
 DOC_TERMS = r"""doc_terms AS (
   SELECT regexp_extract(text, '[^ \t\r\n]+') || '/' || source AS bk_word,
          replace(replace(replace(text, ' | ', '/'), ' ', ','), chr(10), ',') AS bk_relwords,
          lang || ',' || source || ',' || lang || '|' || source || ',' || lang
-           || CASE WHEN n_chars > 1000 THEN ',,' ELSE '' END AS bk_tags
-  FROM documents)"""
+           || CASE WHEN doc_id % 2 = 0 THEN ',,' ELSE '' END AS bk_tags
+  FROM documents
+  UNION ALL
+  SELECT CASE k % 9 WHEN 0 THEN name WHEN 1 THEN name[1] WHEN 2 THEN '/' || name WHEN 3 THEN pad || name || tail WHEN 4 THEN NULL
+           WHEN 5 THEN name || ' too long a word' WHEN 6 THEN name || '/x/y' WHEN 7 THEN '//' ELSE name END,
+         CASE k % 7 WHEN 0 THEN name || ',//,' || kind || ',/,a/b,/c' WHEN 1 THEN pad || kind || ',' || name || ',' || kind || tail
+           WHEN 2 THEN ',' || kind || ',,' || name || ',,z' WHEN 3 THEN kind || ',' || name WHEN 4 THEN NULL WHEN 5 THEN '/,//,///'
+           ELSE kind || ',' || name || ',c,d,e' END,
+         CASE k % 5 WHEN 0 THEN kind WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN ',,,' ELSE pad || kind || ',odd' || tail END
+  FROM (SELECT s_suppkey AS k, s_name AS name, 'Supplier' AS kind FROM supplier
+        UNION ALL SELECT p_partkey, p_name || ' ' || p_partkey, p_type FROM part),
+       (SELECT chr(9) || ' ' || chr(1) AS pad, ' ' || chr(13) || chr(10) AS tail))"""
+
+LAYERED_TERMS = """layered_terms AS (
+  SELECT 'part-' || p_partkey AS bk_word, p_name || ',' || p_brand || ',' || p_type AS bk_relwords,
+         'world,L2-' || k % 2 || ',L4-' || k % 4 || CASE WHEN k % 3 <> 0 THEN ',L8-' || k % 8 ELSE '' END || ',L16-' || k % 16
+           || ',B-' || k % 48 || CASE WHEN k < 5 THEN ',lone' ELSE '' END AS bk_tags
+  FROM (SELECT *, p_partkey AS k FROM part))"""
 
 CUSTOMER_TERMS = """customer_terms AS (
   SELECT c_name AS bk_word, n_name || ',' || r_name || ',' || c_mktsegment AS bk_relwords,
@@ -19,19 +37,30 @@ CUSTOMER_TERMS = """customer_terms AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def trimmed(c: str) -> str:
+    """``c`` without the characters up to U+0020 at its ends."""
+    return f"regexp_replace({c}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
+def base(c: str) -> str:
+    """The part before the first slash; slashes only stay."""
+    return f"CASE WHEN {c} <> '' AND replace({c}, '/', '') = '' THEN {c} ELSE split_part({c}, '/', 1) END"
+
+
 def clean(source: str, name: str, min_len: int) -> str:
     """Filter, base term, and best sense per term of ``source``, as relation ``name``."""
     return f"""{name}_long AS (
-  SELECT bk_word AS w, bk_tags AS tags, list_filter(string_split(bk_relwords, ','), lambda x: x <> '') AS rl
-  FROM {source}
-  WHERE length(bk_word) BETWEEN {min_len} AND 23 AND NOT starts_with(bk_word, '/') AND rtrim(bk_tags, ',') <> ''),
+  SELECT w, tags, list_filter(string_split(rels, ','), lambda x: x <> '') AS rl
+  FROM (SELECT {trimmed("bk_word")} AS w, {trimmed("coalesce(bk_relwords, '')")} AS rels, {trimmed("coalesce(bk_tags, '')")} AS tags FROM {source})
+  WHERE length(w) BETWEEN {min_len} AND 23 AND NOT starts_with(w, '/')
+    AND (rtrim(tags, ',') <> ''{" OR tags = ''" if min_len == 1 else ""})),
 {name}_senses AS (
-  SELECT split_part(w, '/', 1) AS word, tags,
+  SELECT {base("w")} AS word, tags,
          list_transform(list_filter(rl, lambda x: NOT starts_with(x, '/')), lambda x: split_part(x, '/', 1)) AS rel
   FROM {name}_long WHERE len(rl) >= 3),
 {name}_ranked AS (
   SELECT word, rel, tags, row_number() OVER (
-           PARTITION BY word ORDER BY len(rel) DESC, array_to_string(rel, ',') DESC, tags DESC) AS rn
+           PARTITION BY word ORDER BY len(rel) DESC, tags DESC, array_to_string(rel, ',') DESC) AS rn
   FROM {name}_senses),
 {name} AS (
   SELECT word, rel, coalesce(array_to_string(rel, ','), '') AS relwords, tags AS raw_tags, rtrim(tags, ',') AS tags
@@ -54,22 +83,16 @@ cooccur AS (
   FROM pairs JOIN tag_counts x ON x.tag = tag1 JOIN tag_counts y ON y.tag = tag2)"""
 
 
-EDGES = (
-    CUSTOMER_TERMS
-    + ",\n"
-    + clean("customer_terms", "terms", 1)
-    + ",\n"
-    + counted("terms")
-    + """,
+STRONG = """,
 edges AS (
   SELECT CASE WHEN tag1num > tag2num THEN tag2 ELSE tag1 END AS child,
          CASE WHEN tag1num > tag2num THEN tag1 ELSE tag2 END AS parent
   FROM cooccur WHERE twotagnum > 10 AND trunc(least(tag1num, tag2num) * CAST(0.9 AS DOUBLE)) < twotagnum)"""
-)
 
-LAYERS = (
-    EDGES
-    + """,
+EDGES = CUSTOMER_TERMS + ",\n" + clean("customer_terms", "terms", 1) + ",\n" + counted("terms") + STRONG
+DEEP_EDGES = LAYERED_TERMS + ",\n" + clean("layered_terms", "terms", 1) + ",\n" + counted("terms") + STRONG
+
+LEVELS = """,
 levels(tag, level) AS (
   SELECT DISTINCT parent, 0 FROM edges WHERE parent NOT IN (SELECT child FROM edges)
   UNION
@@ -85,11 +108,11 @@ layers AS (
   SELECT child AS tag, max(round) AS layer FROM kept GROUP BY child
   UNION ALL
   SELECT DISTINCT parent, 0 FROM kept WHERE round = 1)"""
-)
 
-PATHS = (
-    LAYERS
-    + """,
+LAYERS = EDGES + LEVELS
+DEEP_LAYERS = DEEP_EDGES + LEVELS
+
+HUNG = """,
 hung AS (
   SELECT child, parent FROM (
     SELECT child, parent, row_number() OVER (PARTITION BY child ORDER BY round, parent) AS rn FROM kept)
@@ -98,7 +121,9 @@ paths(tag, path) AS (
   SELECT tag, [tag] FROM layers WHERE layer = 0
   UNION ALL
   SELECT child, list_append(path, child) FROM hung JOIN paths ON hung.parent = paths.tag)"""
-)
+
+PATHS = LAYERS + HUNG
+DEEP_PATHS = DEEP_LAYERS + HUNG
 
 CLASSES = r"""class_lines AS (
   SELECT DISTINCT lang || '|' || source AS tag, ascii(lang) - 100 AS cls FROM documents
@@ -172,9 +197,9 @@ BENCHMARK = r"""lexicon AS (
   FROM (SELECT unnest(regexp_split_to_array(text, '[^\p{L}\p{N}]+')) AS word FROM benchmark) WHERE word <> '')"""
 
 USER_WORDS = r"""user_words AS (
-  SELECT DISTINCT word, 'usr' AS nature
-  FROM (SELECT unnest(regexp_split_to_array(text, '[^\p{L}\p{N}]+')) AS word FROM conversations WHERE role = 'user')
-  WHERE word <> '')"""
+  SELECT word, max(role) AS nature
+  FROM (SELECT role, unnest(regexp_split_to_array(text, '[^\p{L}\p{N}]+')) AS word FROM conversations)
+  WHERE word <> '' GROUP BY word)"""
 
 
 def decoded(c: str) -> str:
@@ -254,6 +279,22 @@ idx AS (SELECT word, string_agg(tag || '/' || len(path), ',' ORDER BY n DESC, po
 FROM best JOIN idx ON idx.word = best.word""",
         True,
     ),
+    "deep_kept_lines": put(DEEP_LAYERS, "SELECT child || '>' || parent AS value FROM kept", True),
+    "deep_layer_lines": put(DEEP_LAYERS, "SELECT tag || ' ' || CAST(layer AS INTEGER) AS value FROM layers", True),
+    "deep_paths": put(
+        DEEP_PATHS, "SELECT tag, array_to_string(path, '>') AS path, CAST(len(path) - 1 AS INTEGER) AS depth FROM paths", True
+    ),
+    "classified_snapshot": put(
+        CLASSIFIED,
+        "SELECT word AS bk_word, relwords AS bk_relwords, CAST(cls AS INTEGER) AS bk_tag, '2017-06-12' AS stat_date FROM classified",
+    ),
+    "nature_fixed": f"""
+WITH codes AS (SELECT unnest({sorted(TAG_NATURE)}) AS tag, unnest({[TAG_NATURE[t] for t in sorted(TAG_NATURE)]}) AS nature),
+listed AS (
+  SELECT c_name, c_mktsegment, ({sorted(TAG_NATURE)})[c_nationkey % {len(TAG_NATURE)} + 1] AS a,
+         ({sorted(TAG_NATURE)})[(7 * c_nationkey + 3) % {len(TAG_NATURE)} + 1] AS b FROM customer)
+SELECT c_name AS word, c_mktsegment || ',' || a || ',' || b AS tags, nature, CAST(length(c_name) AS VARCHAR) AS word_len
+FROM listed JOIN codes ON codes.tag = a""",
     "tag_class_scan": put(CLASSES, "SELECT tag, CAST(cls AS INTEGER) AS cls FROM tag_classes"),
     "classify_terms": put(CLASSIFIED, "SELECT word, relwords, CAST(cls AS INTEGER) AS cls FROM classified"),
     "related_by_class": put(
@@ -273,9 +314,13 @@ FROM related a LEFT JOIN classified b ON b.word = a.r GROUP BY a.word, a.cls, co
         + """,
 natures AS (
   SELECT DISTINCT lang || '|' || source AS tag, 'mz' || lang AS nature FROM documents
-  UNION ALL SELECT DISTINCT source, 'mzsrc' FROM documents WHERE length(source) > 4),
+  UNION ALL SELECT DISTINCT source, 'mzs' || source[-1] FROM documents),
 senses AS (
-  SELECT DISTINCT split_part(bk_word, '/', 1) AS word, string_split(rtrim(bk_tags, ','), ',') AS tags
+  SELECT DISTINCT """
+        + base(trimmed("bk_word"))
+        + """ AS word, string_split(rtrim("""
+        + trimmed("bk_tags")
+        + """, ','), ',') AS tags
   FROM doc_terms WHERE bk_tags <> '' AND length(bk_word) BETWEEN 2 AND 23),
 unrolled AS (SELECT word, tags, unnest(tags) AS tag, generate_subscripts(tags, 1) AS pos FROM senses),
 mapped AS (
@@ -310,13 +355,11 @@ UNION ALL SELECT page_id, 1, trim({LANG} || ' & more') FROM pages""",
     "page_terms": put(
         ANCHORS,
         f"""SELECT p.url AS bk_word,
-       CASE WHEN length(any_value(html)) < 1000 THEN 'none' ELSE 'no'
-         || coalesce(',' || string_agg({decoded("inner_source")}, ',' ORDER BY pos), '') END AS bk_relwords,
-       CASE WHEN length(any_value(html)) < 1000 THEN 'none'
-         ELSE regexp_extract(p.url, '//([^/]*)', 1) || ','
-           || trim(regexp_extract(p.url, '/([a-z][a-z])/', 1) || ' & more') END AS bk_tags
+       'no' || coalesce(',' || string_agg({decoded("inner_source")}, ',' ORDER BY pos), '') AS bk_relwords,
+       regexp_extract(p.url, '//([^/]*)', 1) || ',' || trim(regexp_extract(p.url, '/([a-z][a-z])/', 1) || ' & more') AS bk_tags
 FROM pages p LEFT JOIN anchors a ON a.page_id = p.page_id
-GROUP BY p.page_id, p.url""",
+GROUP BY p.page_id, p.url
+UNION ALL SELECT c_name, 'none', 'none' FROM customer""",
     ),
     "page_keywords": f"""
 SELECT url AS bk_word, url AS bk_input, {HOST} || ',' || {LANG} AS meta_keywords,
@@ -373,7 +416,7 @@ GROUP BY line""",
     "snapshot_scan": """
 SELECT doc_id, n_chars, 'one' AS dates FROM documents WHERE lang <> 'en'
 UNION ALL SELECT doc_id, n_chars, 'all' FROM documents WHERE lang <> 'en'
-UNION ALL SELECT doc_id, n_chars, 'all' FROM documents WHERE lang = 'de'""",
+UNION ALL SELECT doc_id, n_chars, 'all' FROM documents""",
     "write_table": put(
         DOC_TERMS + ",\n" + clean("doc_terms", "terms", 2),
         "SELECT word AS bk_word, relwords AS bk_relwords, raw_tags AS bk_tags FROM terms",

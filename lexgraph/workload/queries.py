@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,9 @@ from lexgraph.operators.classify import classify_terms, related_by_class
 from lexgraph.operators.cooccur import tag_cooccur, tag_count
 from lexgraph.operators.hierarchy import csv_tags, tag_edges, tag_layers, tag_paths, tag_paths_for_terms
 from lexgraph.operators.html import extract_html, page_keywords, page_terms
-from lexgraph.operators.nature import nature_label, nature_scan
+from lexgraph.operators.nature import default_natures, nature_label, nature_scan
 from lexgraph.operators.synonyms import synonyms
-from lexgraph.operators.terms import clean_terms, clean_terms_loose
+from lexgraph.operators.terms import clean_tags_loose, clean_terms, clean_terms_loose
 from lexgraph.operators.tokens import drop_stopwords, lexicon_matches, tokenize, tokens_with_nature
 from lexgraph.plans.stage import new_path, stage
 from lexgraph.sources.tables import snapshot_scan, write_lines, write_snapshot, write_table
@@ -31,9 +32,11 @@ from lexgraph.sources.text import (
 from lexgraph.workload.fixtures import (
     BLANKS,
     class_lines,
+    coded_terms,
     customer_terms,
     document_terms,
     keyword_rows,
+    layered_terms,
     load,
     marked_pages,
     nature_lookup,
@@ -72,15 +75,15 @@ def q_clean_terms_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tag_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_count(clean_terms_loose(document_terms(spark, sf_dir)))
+    return tag_count(clean_tags_loose(document_terms(spark, sf_dir)))
 
 
 def q_tag_cooccur(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_cooccur(clean_terms_loose(document_terms(spark, sf_dir)))
+    return tag_cooccur(clean_tags_loose(document_terms(spark, sf_dir)))
 
 
 def customer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tag_edges(tag_cooccur(clean_terms_loose(customer_terms(spark, sf_dir))), THRES)
+    return tag_edges(tag_cooccur(clean_tags_loose(customer_terms(spark, sf_dir))), THRES)
 
 
 def q_tag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +108,30 @@ def q_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_tag_paths_for_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = clean_terms(customer_terms(spark, sf_dir), as_csv=True)
-    return tag_paths_for_terms(csv_tags(terms, "word", "tags"), customer_paths(spark, sf_dir))
+    paths = customer_paths(spark, sf_dir).select("tag", "path")
+    # Every tag once more with a smaller path, which does not count.
+    again = paths.select("tag", F.array(F.lit("")).alias("path"))
+    return tag_paths_for_terms(csv_tags(terms, "word", "tags"), paths.unionByName(again))
+
+
+def deep_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_edges(tag_cooccur(clean_tags_loose(layered_terms(spark, sf_dir))), THRES)
+
+
+def q_deep_kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "kept_text")
+    write_lines(tag_layers(deep_edges(spark, sf_dir)).kept, ("child", "parent"), ">", path)
+    return spark.read.text(path)
+
+
+def q_deep_layer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "layers_text")
+    write_lines(tag_layers(deep_edges(spark, sf_dir)).layers, ("tag", "layer"), " ", path)
+    return spark.read.text(path)
+
+
+def q_deep_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined(tag_paths(*tag_layers(deep_edges(spark, sf_dir))), "path", sep=">")
 
 
 def q_path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +151,8 @@ def q_tag_class_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = tag_classes(class_lines(spark, sf_dir))
+    # Every tag once more with a smaller class, which does not count.
+    lookup = lookup.unionByName(lookup.withColumn("cls", F.lit(-9)))
     return classify_terms(clean_terms_loose(document_terms(spark, sf_dir)), lookup)
 
 
@@ -136,6 +164,19 @@ def q_related_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return related_by_class(stage(classified_documents(spark, sf_dir), "classified"))
 
 
+def q_classified_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classified terms through a snapshot table with a string partition, as a job keeps them for inspection."""
+    path = new_path(spark, "classified_table")
+    shown = joined(classified_documents(spark, sf_dir), "relwords").toDF("bk_word", "bk_relwords", "bk_tag")
+    with own_table(spark) as table:
+        write_snapshot(shown, table, "2017-06-12", part_type="string", location=path)
+    return spark.read.parquet(path).withColumn("stat_date", F.col("stat_date").cast("string"))
+
+
+def q_nature_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nature_label(coded_terms(spark, sf_dir), default_natures(spark))
+
+
 def q_nature_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nature_scan(document_terms(spark, sf_dir))
 
@@ -180,9 +221,10 @@ def q_html_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_page_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    present = F.when(F.col("n_chars") >= 1000, F.col("html"))
-    pages = marked_pages(spark, sf_dir).select("url", present.alias("html"))
-    return page_terms(pages, "url", "html", link_prefix="/")
+    """All pages, and customers as records that have none."""
+    pages = marked_pages(spark, sf_dir).select("url", "html")
+    alone = load(spark, sf_dir, "customer").select(F.col("c_name").alias("url"), F.lit(None).cast("string").alias("html"))
+    return page_terms(pages.unionByName(alone), "url", "html", link_prefix="/")
 
 
 def q_page_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,10 +253,9 @@ def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """[word, nature]: tokens of the user turns."""
-    turns = load(spark, sf_dir, "conversations").where("role = 'user'")
-    words = tokenize(turns, keep=("conv_id",)).select(F.col("token").alias("word"))
-    return words.distinct().withColumn("nature", F.lit("usr"))
+    """[word, nature]: tokens of all turns, coded by their role."""
+    words = tokenize(load(spark, sf_dir, "conversations"), keep=("role",))
+    return words.select(F.col("token").alias("word"), F.col("role").alias("nature")).distinct()
 
 
 def q_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,24 +315,34 @@ def q_read_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two dates of one table, the first one written twice; the scan reads one date."""
-    table = f"snapshot_{uuid.uuid4().hex}"
+    """Two dates of one table, the first one written twice; the scan reads one date, then all."""
     path = new_path(spark, "snapshot")
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    write_snapshot(docs.where("lang = 'en'"), table, 20170612, location=path)
-    write_snapshot(docs.where("lang = 'de'"), table, 20170613, location=path)
-    write_snapshot(docs.where("lang <> 'en'"), table, 20170612, location=path)
-    scan = snapshot_scan(spark, table, 20170612, ("doc_id", "n_chars"))
-    both = snapshot_scan(spark, table, None, ("doc_id", "n_chars"))
-    return scan.withColumn("dates", F.lit("one")).unionByName(both.withColumn("dates", F.lit("all")))
+    with own_table(spark) as table:
+        write_snapshot(docs.where("lang = 'en'"), table, 20170612, location=path)
+        write_snapshot(docs, table, 20170613, location=path)
+        write_snapshot(docs.where("lang <> 'en'"), table, 20170612, location=path)
+        scan = snapshot_scan(spark, table, 20170612, ("doc_id", "n_chars"))
+        both = snapshot_scan(spark, table, None, ("doc_id", "n_chars"))
+        return stage(scan.withColumn("dates", F.lit("one")).unionByName(both.withColumn("dates", F.lit("all"))), "scanned")
 
 
 def q_write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"terms_{uuid.uuid4().hex}"
     path = new_path(spark, "table")
-    write_table(document_terms(spark, sf_dir), table, location=path)
-    write_table(clean_terms(document_terms(spark, sf_dir), as_csv=True), table, location=path)
-    return snapshot_scan(spark, table)
+    with own_table(spark) as table:
+        write_table(document_terms(spark, sf_dir), table, location=path)
+        write_table(clean_terms(document_terms(spark, sf_dir), as_csv=True), table, location=path)
+    return spark.read.parquet(path)
+
+
+@contextmanager
+def own_table(spark: SparkSession) -> Iterator[str]:
+    """Name of a table that is dropped afterwards; its files have a place of their own and stay."""
+    table = f"lexgraph_{uuid.uuid4().hex}"
+    try:
+        yield table
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS `{table}`")
 
 
 def q_edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
