@@ -71,7 +71,10 @@ def arrow_pass(
 
 
 def runs(batch: pa.RecordBatch, run_bytes: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts of a batch [.., text] of about ``run_bytes``; a longer text is a run of its own."""
+    """Cuts of a batch of about ``run_bytes`` of text; a longer text is a run of its own. Without a text: of 256 rows."""
+    if batch.schema.get_field_index("text") < 0:
+        yield from (batch.slice(at, 256) for at in range(0, batch.num_rows, 256))
+        return
     begin, size = 0, 0
     for i, length in enumerate(pc.binary_length(column(batch, "text")).to_pylist()):
         if size and size + length > run_bytes:

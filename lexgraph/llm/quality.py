@@ -90,7 +90,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, p: Ftrl = Ftrl()) -> np.nd
     known = labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = bounded_sample(known, "doc_id", p.sample)
     shards = max(1, -(-min(chosen.count(), p.sample) // p.shard))
-    rows = text_rows(docs.join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
+    rows = text_rows(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
     def fit(table: pa.Table) -> pa.Table:

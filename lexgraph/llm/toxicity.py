@@ -224,7 +224,7 @@ def train_crf(docs: DataFrame, labels: DataFrame, p: CrfParams = CrfParams()) ->
     """
     known = labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     chosen = bounded_sample(known, "doc_id", p.sample)
-    rows = text_rows(docs.join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
+    rows = text_rows(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
     names = toxic_words(rows, p)
     words = {w: i + 1 for i, w in enumerate(names)}
     width = len(words) + 1
