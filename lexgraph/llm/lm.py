@@ -160,47 +160,58 @@ def sum_by(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+NODES_AT_ONCE = 1024  # bounds what the driver holds beside the tree
+
+
 def weigh(levels: list[tuple[np.ndarray, np.ndarray]], depth: int) -> Tree:
     """The tree from (contexts, counts [node, 256]) of each depth; contexts are sorted."""
     contexts = [c for c, _ in levels]
     parents = [np.searchsorted(contexts[d - 1], contexts[d] & ((1 << (8 * (d - 1))) - 1)) if d else None for d in range(len(levels))]
-    stop, rest_one, own_one = [], [], []
-    below: np.ndarray | None = None
+    stop = [np.ones((len(c), 256), np.float32) for c in contexts]
+    rest_one = [np.empty((len(c), 256), np.float32) for c in contexts]
+    below = np.zeros((0, 256))
     for d in range(len(levels) - 1, -1, -1):
-        bits = bit_counts(levels[d][1])
-        own = block_logp(bits)
-        if below is not None and len(contexts[d + 1]):
-            rest = bits - sum_by(parents[d + 1], bit_counts(levels[d + 1][1]), len(bits))
-            split = block_logp(rest) + sum_by(parents[d + 1], below, len(bits))
-            gap = np.clip(split - own, -700, 700)
-            weight = 1.0 / (1.0 + np.exp(gap))
-            below = own + np.log(0.5) + np.logaddexp(0.0, split - own)
-        else:
-            rest, weight, below = bits, np.ones_like(own), own
-        stop.insert(0, weight.astype(np.float32))
-        rest_one.insert(0, next_one(rest).astype(np.float32))
-        own_one.insert(0, next_one(bits).astype(np.float32))
+        deeper, below = below, np.empty((len(contexts[d]), 256))
+        up = parents[d + 1] if d + 1 < len(levels) else np.zeros(0, np.int64)
+        order = np.argsort(up, kind="stable")
+        for begin in range(0, len(contexts[d]), NODES_AT_ONCE):
+            end = min(begin + NODES_AT_ONCE, len(contexts[d]))
+            bits = bit_counts(levels[d][1][begin:end])
+            own = block_logp(bits)
+            kids = order[slice(*np.searchsorted(up[order], [begin, end]))]
+            if len(kids):
+                rest = bits - sum_by(up[kids] - begin, bit_counts(levels[d + 1][1][kids]), end - begin)
+                split = block_logp(rest) + sum_by(up[kids] - begin, deeper[kids], end - begin)
+                stop[d][begin:end] = 1.0 / (1.0 + np.exp(np.clip(split - own, -700, 700)))
+                below[begin:end] = own + np.log(0.5) + np.logaddexp(0.0, split - own)
+            else:
+                rest, below[begin:end] = bits, own
+            rest_one[d][begin:end] = next_one(rest)
     offsets = np.cumsum([0, *(len(c) for c in contexts)])
     child = np.full(offsets[-1] * 256, -1, np.int32)
     logp = np.empty((offsets[-1], 256), np.float32)
-    mixing = carry = None
+    mixing = carry = np.zeros((0, 256), np.float32)
     for d in range(len(levels)):
+        above, carried = mixing, carry
+        mixing, carry = np.empty_like(stop[d]), np.empty_like(stop[d])
         if d:
-            mixing, carry = mixing[parents[d]], carry[parents[d]]
             older = contexts[d] >> (8 * (d - 1))
             child[(offsets[d - 1] + parents[d]) * 256 + older] = offsets[d] + np.arange(len(contexts[d]))
-        else:
-            mixing, carry = np.zeros_like(stop[0]), np.ones_like(stop[0])
-        mixing = mixing + carry * stop[d] * own_one[d]
-        carry = carry * (1 - stop[d])
-        one = mixing + carry * rest_one[d]
-        # The eight decisions of each byte, from its highest bit on.
-        total = np.zeros((len(contexts[d]), 256), np.float32)
-        for bit in range(8):
-            entry = (256 + np.arange(256)) >> (8 - bit)
-            taken = (np.arange(256) >> (7 - bit)) & 1
-            total += np.log10(np.where(taken, one[:, entry], 1 - one[:, entry]))
-        logp[offsets[d] : offsets[d + 1]] = total
+        for begin in range(0, len(contexts[d]), NODES_AT_ONCE):
+            here = slice(begin, min(begin + NODES_AT_ONCE, len(contexts[d])))
+            left = carried[parents[d][here]] if d else np.ones_like(stop[d][here])
+            mixing[here] = left * stop[d][here] * next_one(bit_counts(levels[d][1][here]))
+            if d:
+                mixing[here] += above[parents[d][here]]
+            carry[here] = left * (1 - stop[d][here])
+            one = mixing[here] + carry[here] * rest_one[d][here]
+            # The eight decisions of each byte, from its highest bit on.
+            total = np.zeros_like(one)
+            for bit in range(8):
+                entry = (256 + np.arange(256)) >> (8 - bit)
+                taken = (np.arange(256) >> (7 - bit)) & 1
+                total += np.log10(np.where(taken, one[:, entry], 1 - one[:, entry]))
+            logp[offsets[d] + here.start : offsets[d] + here.stop] = total
     return Tree(child, logp.ravel(), depth)
 
 
