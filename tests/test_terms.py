@@ -8,7 +8,7 @@ from lexgraph.operators.terms import clean_terms, clean_terms_loose
 CRAWLED = [
     ("apple/fruit", "/x,pear,plum/tree,fig", "food,plant"),
     ("apple/brand", "a,b", "tech"),
-    ("apple/brand2", "mac,phone,pad,,", "tech,brand"),
+    ("apple/brand2", "mac,phone,pad,,", "brand,tech"),
     ("/bad", "a,b,c", "t"),
     ("k", "a,b,c", "t"),
     ("pear", "apple,apple/x,plum", "food,plant,food"),
