@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexgraph.llm import bpe, decontam, langid, licenses, lm, neardup, quality, rules, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
+from lexgraph.llm.oracles import ORACLES as ORACLES  # for the driver's entry
 
 
 def labels(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,4 +97,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontam": op9_decontam,
     "op10_ctw": op10_ctw,
 }
-ORACLES: dict[str, str] = {}
