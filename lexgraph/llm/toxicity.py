@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ by_value(__name__)
 
 
 class CrfParams(NamedTuple):
-    """``sample`` bounds the labelled documents; a toxic word needs ``min_docs`` toxic documents and a ``z`` of excess."""
+    """``sample`` bounds the labelled documents; a toxic word needs ``min_docs`` toxic contexts and a ``z`` of excess."""
 
     sample: int = 12_000
     shards: int = 8
@@ -191,26 +192,39 @@ def fit_calibration(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def toxic_words(rows: DataFrame, p: CrfParams) -> list[str]:
-    """Words far more frequent in toxic documents; rows [text bytes, label]. Bounded by the sample of rows."""
+    """Words far more frequent in toxic documents; rows [text bytes, label]. Bounded by the sample of rows.
+
+    A word counts once for each document; of toxic documents, those where it first stands between the same neighbours
+    count as one, so that the own words of one toxic text do not become toxic words by being copied.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in runs(batch):
-                total: Counter = Counter()
+                clean: Counter = Counter()
+                toxic: set[tuple[str, int]] = set()
                 for label, text in zip(column(run, "label").to_pylist(), texts(run)):
-                    total.update((w, label) for w in {plain(w) for w in set(text.split())} if w)
-                keys = sorted(total)
+                    words = [plain(w) for w in text.split()]
+                    if label:
+                        # Backwards, so that a word's first place in the document stays.
+                        around = zip(reversed(words), reversed(["", *words[:-1]]), reversed([*words[1:], ""]))
+                        first = {w: crc32(f"{before} {after}".encode()) for w, before, after in around if w}
+                        toxic.update(first.items())
+                    else:
+                        clean.update({w for w in words if w})
+                found = sorted(toxic)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                     pa.array([total[k] for k in keys], pa.int64())], ["word", "label", "n"],
+                    [pa.array([*clean, *(w for w, _ in found)], pa.string()), pa.array([*clean.values(), *(0 for _ in found)], pa.int64()),
+                     pa.array([*(None for _ in clean), *(c for _, c in found)], pa.int64())], ["word", "clean", "context"],
                 )
 
-    share = (rows.agg(F.avg("label")).first()[0] or 0.0)
-    n_toxic, n = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)), F.sum("n")
+    share = rows.agg(F.avg("label")).first()[0] or 0.0
+    counted = rows.select("label", "text").mapInArrow(count, "word string, clean long, context long")
+    n_toxic, n = F.col("toxic"), F.col("toxic") + F.col("clean")
     found = (
-        rows.select("label", "text").mapInArrow(count, "word string, label int, n long").groupBy("word")
-        .agg(n_toxic.alias("toxic"), n.alias("all"))
-        .where((F.col("toxic") >= p.min_docs) & (F.col("toxic") - F.col("all") * share >= p.z * F.sqrt(F.col("all") * share)))
+        counted.groupBy("word", "context").agg(F.sum("clean").alias("clean"))
+        .groupBy("word").agg(F.count("context").alias("toxic"), F.sum("clean").alias("clean"))
+        .where((n_toxic >= p.min_docs) & (n_toxic - n * share >= p.z * F.sqrt(n * share)))
     )
     return sorted(r[0] for r in found.select("word").collect())
 
