@@ -29,7 +29,7 @@ PATTERN = rf"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\
 
 
 # Texts of so many bytes share an index: the more, the fewer steps in all.
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 6 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -96,21 +96,24 @@ class PairIndex:
 
     def __init__(self, pieces: list[bytes], v: Vocabulary) -> None:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        body = v.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        body = v.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)].astype(np.int32)
         self.v = v
         # A mark of -1 ends each piece: no pair reaches over it.
-        self.symbols = np.full(len(body) + len(pieces), -1, np.int64)
+        self.symbols = np.full(len(body) + len(pieces), -1, np.int32)
         self.symbols[np.arange(len(body)) + np.repeat(np.arange(len(pieces)), sizes)] = body
-        self.after = np.arange(1, len(self.symbols) + 1)
-        self.before = np.arange(-1, len(self.symbols))
+        self.after = np.arange(1, len(self.symbols) + 1, dtype=np.int32)
+        self.before = np.arange(-1, len(self.symbols), dtype=np.int32)
         self.places: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
         self.pair_of = {int(r): i for i, r in enumerate(v.rank)}
-        self.add(np.arange(len(self.symbols) - 1), self.symbols[:-1], self.symbols[1:])
+        # In parts: each place is looked up once, and few of them at a time.
+        for at in range(0, len(self.symbols) - 1, 1 << 19):
+            places = np.arange(at, min(at + (1 << 19), len(self.symbols) - 1), dtype=np.int32)
+            self.add(places, self.symbols[places], self.symbols[places + 1])
 
     def add(self, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
         """Enter the places of the pairs that have a rank."""
-        key = (left << SHIFT) + right
+        key = (left.astype(np.int64) << SHIFT) + right
         row = np.minimum(np.searchsorted(self.v.pairs, key), len(self.v.pairs) - 1)
         hit = (self.v.pairs[row] == key) & (left >= 0) & (right >= 0)
         at, rank = at[hit], self.v.rank[row[hit]]
@@ -189,7 +192,7 @@ def chunk_splitter():
 class Encoder:
     """Encodes runs of texts in one task. ``known`` has the ids of chunks, forgotten when there are too many."""
 
-    LIMIT = 300_000
+    LIMIT = 140_000
 
     def __init__(self, v: Vocabulary) -> None:
         import regex

@@ -114,7 +114,7 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 class WordHash(dict):
     """word -> 64-bit hash, computed once for each word; emptied when it holds too many words."""
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __missing__(self, word: bytes) -> int:
         from hashlib import blake2b

@@ -147,7 +147,7 @@ def gram_tables(model: LangModel) -> dict[int, GramTable]:
 class WordRows:
     """Raw word -> row of a matrix: its log frequencies by language and, last, its letter runs."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, model: LangModel) -> None:
         self.m, self.split, self.tables = model, letter_runs(), gram_tables(model)
@@ -253,4 +253,4 @@ def identify_languages(docs: DataFrame, model: LangModel) -> DataFrame:
         return pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_pass(text_rows(docs, "doc_id"), work, f"doc_id {id_type}, lang_pred string, score double", 12 << 20)
+    return arrow_pass(text_rows(docs, "doc_id"), work, f"doc_id {id_type}, lang_pred string, score double", 6 << 20)

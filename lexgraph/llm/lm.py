@@ -89,7 +89,7 @@ def count_grams(docs: DataFrame, p: TreeParams) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for run in runs(batch, 8 << 20):
+            for run in runs(batch, 3 << 20):
                 data, places, _ = laid_out(texts(run), p.depth)
                 new, n = np.unique(packed(data, places, p.depth), return_counts=True)
                 keys = np.concatenate([gram, new])
@@ -97,7 +97,7 @@ def count_grams(docs: DataFrame, p: TreeParams) -> DataFrame:
                 keys, n = keys[order], np.concatenate([total, n])[order]
                 begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
                 gram, total = keys[begins], np.add.reduceat(n, begins)
-                if len(gram) > 3_000_000:
+                if len(gram) > 1_500_000:
                     yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total)], ["gram", "n"])
                     gram, total = gram[:0], total[:0]
         yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total)], ["gram", "n"])
@@ -251,7 +251,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in runs(batch, 16 << 20):
+            for run in runs(batch, 6 << 20):
                 found: Counter = Counter({END: run.num_rows})
                 for text in texts(run):
                     found.update(tokens_of(text))
@@ -288,7 +288,7 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, frequent = tree(), rank().counts
         for batch in batches:
-            for run in runs(batch):
+            for run in runs(batch, 2 << 20):
                 bodies, keys = texts(run), column(run, "row").to_pylist()
                 logp, size = tree_scores(bodies, model)
                 n_tokens, n_known, base = [], [], []

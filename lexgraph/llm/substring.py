@@ -90,7 +90,7 @@ def seeds_of(docs: DataFrame, p: Repeats) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         for batch in batches:
-            for run in runs(batch, 16 << 20):
+            for run in runs(batch, 6 << 20):
                 keys = column(run, "key").to_numpy(zero_copy_only=False)
                 parts = []
                 for i, text in enumerate(texts(run)):

@@ -57,7 +57,7 @@ def plain(word: bytes) -> str:
 class PlainRows(dict):
     """Raw word -> weight row, remembered up to a limit."""
 
-    LIMIT = 300_000
+    LIMIT = 120_000
 
     def __init__(self, words: dict[str, int]) -> None:
         super().__init__()
