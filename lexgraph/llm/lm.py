@@ -204,7 +204,8 @@ def weigh(levels: list[tuple[np.ndarray, np.ndarray]], depth: int) -> Tree:
             if d:
                 mixing[here] += above[parents[d][here]]
             carry[here] = left * (1 - stop[d][here])
-            one = mixing[here] + carry[here] * rest_one[d][here]
+            # Kept off 0 and 1 by what single precision can tell, so that nothing is impossible.
+            one = np.clip(mixing[here] + carry[here] * rest_one[d][here], 1e-7, 1 - 1e-7)
             # The eight decisions of each byte, from its highest bit on.
             total = np.zeros_like(one)
             for bit in range(8):
