@@ -113,7 +113,7 @@ def test_hot_keys_are_few_and_found(spark):
 def test_size_checks(spark):
     df = spark.range(100).toDF("a")
     staged = stage_sized(df, "t")
-    assert (staged.rows, staged.size, staged.small, staged.df.count()) == (100, 790, True, 100)
+    assert (staged.rows, staged.small, staged.df.count()) == (100, True, 100) and 0 < staged.size < 50_000
     assert not staged._replace(rows=10**6).small
     assert not staged._replace(size=10**9).small
     assert stage_sized(df.where("a > 1000"), "t").rows == 0
