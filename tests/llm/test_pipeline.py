@@ -26,7 +26,7 @@ def corpus(spark, tmp_path_factory):
         if i % 10 == 1:
             body += " vile " + text(5) + " nasty"
             labels[i] = 1
-        elif i % 10 in (2, 3):
+        else:
             labels[i] = 0
         if i % 10 == 4:
             body = docs[i - 4] if i % 20 == 4 else docs[i - 4] + " one more"
