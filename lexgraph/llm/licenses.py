@@ -58,7 +58,8 @@ def score_notices(notices: DataFrame, p: LicenseParams, templates: dict[str, str
     counted = terms.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.sum("n").alias("df"))
     total = notices.agg(F.sum("n")).first()[0] or 0
     weight = lambda df: F.log(F.lit(1.0 + total) / (1.0 + df)) + 1.0
-    idf = vocabulary.join(counted, "term", "left").select("term", weight(F.coalesce("df", F.lit(0))).alias("idf"))
+    # Each of the small tables below is read several times: staged, none is planned and computed again.
+    idf = stage(vocabulary.join(counted, "term", "left").select("term", weight(F.coalesce("df", F.lit(0))).alias("idf")), "idf")
     weighted = terms.join(F.broadcast(idf), "term", "left").select(
         "notice", "term", (F.col("tf") * F.coalesce(F.col("idf"), weight(F.lit(1)))).alias("w")
     )
@@ -67,7 +68,9 @@ def score_notices(notices: DataFrame, p: LicenseParams, templates: dict[str, str
     unit = template.join(lengths, "license").select("license", "term", (F.col("v") / F.col("length")).alias("v"))
     norm = weighted.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dot = weighted.join(F.broadcast(unit), "term").groupBy("notice", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-    scored = dot.join(norm, "notice").select("notice", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    scored = stage(
+        dot.join(norm, "notice").select("notice", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")), "scored"
+    )
     best = scored.groupBy("notice").agg(F.max("score").alias("score"))
     return (
         scored.join(best, ["notice", "score"]).where(F.col("score") >= p.cosine).groupBy("notice", "score")
@@ -95,8 +98,8 @@ def scan_licenses(files: DataFrame, p: LicenseParams = LicenseParams(), template
     staged = stage(slim.withColumn("row", F.xxhash64("file_id", "path", "notices")), "notices")
     each = staged.select("row", F.explode("notices").alias("notice"))
     distinct = stage(each.groupBy("notice").agg(F.count(F.lit(1)).alias("n")), "distinct_notices")
-    scored = score_notices(distinct, p, templates)
-    hits = lookup_join(each, scored, "notice", "inner")
+    scored = stage(score_notices(distinct, p, templates), "best_licenses")
+    hits = stage(lookup_join(each, scored, "notice", "inner"), "hits")
     # The largest score, then the smallest name: names are compared only among equal scores.
     top = hits.groupBy("row").agg(F.max("score").alias("score"))
     own = hits.join(top, ["row", "score"]).groupBy("row", "score").agg(F.min("license").alias("license"))
