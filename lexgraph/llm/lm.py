@@ -5,9 +5,11 @@ Krichevsky-Trofimov estimate from its counts. The weight of a context's own esti
 contexts follows bottom-up from the training probabilities (a half each to begin with), and predictions mix the
 estimates of all depths on the way down.
 
-Counts are summed by Spark. A context is a node of the tree if it holds at least 1/``share`` of the training bytes, so
-there are at most ``share`` nodes of each depth however large the corpus is; what a node's longer contexts hold beyond
-the nodes among them is pooled in one leaf beside them.
+Every context that stands in the training texts is a node, up to the depth. Counts, weights and predictions are made on
+Spark: grams (a byte with its context) are dealt into chunks by the last ``SPLIT`` bytes of their context, so that a chunk
+holds whole subtrees, which are weighed and asked in one task. Only what lies above them, the tree of depth ``SPLIT`` - 1,
+is weighed on the driver and broadcast. Texts to be scored are dealt into blocks; a block asks the chunks for its distinct
+grams and adds up their answers.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexgraph.llm.common import by_value, column, runs, shared, texts
+from lexgraph.llm.common import by_value, column, mixed, runs, shared, texts
 from lexgraph.plans.stage import stage
 
 by_value(__name__)
@@ -30,14 +32,14 @@ END = b"\n"  # the token that ends a text; no word can hold it
 
 
 class TreeParams(NamedTuple):
-    """``frequent``: words with at least this share of the training tokens have their counts sent to every task.
-
-    Both shares bound what is broadcast: at most ``share`` nodes for each depth, at most ``frequent`` words.
+    """``frequent``: words with at least this share of the training tokens have their counts sent to every task, so at
+    most so many. ``block``: bytes of text that ask for their grams together. ``share`` is for ``train_tree`` only.
     """
 
     depth: int = 6
     share: int = 1 << 16
     frequent: int = 1 << 19
+    block: int = 32 << 20
 
 
 class Tree(NamedTuple):
@@ -77,10 +79,11 @@ def laid_out(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, n
 
 def packed(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """Each byte with its context: the byte lowest, then the last byte before it, and so on."""
-    out = data[places].astype(np.int64)
+    wide = data.astype(np.int64)
+    out = wide.copy()
     for d in range(1, depth + 1):
-        out |= data[places - d].astype(np.int64) << (8 * d)
-    return out
+        out[d:] |= wide[:-d] << (8 * d)
+    return out[places]
 
 
 def count_grams(docs: DataFrame, p: TreeParams) -> DataFrame:
@@ -217,7 +220,8 @@ def weigh(levels: list[tuple[np.ndarray, np.ndarray]], depth: int) -> Tree:
 
 
 def train_tree(docs: DataFrame, p: TreeParams = TreeParams()) -> Tree:
-    """The tree of docs [text bytes]; without any, every byte has probability 1/256."""
+    """The tree of the common contexts of docs [text bytes], those with 1/``share`` of the bytes, small enough to be held in one
+    place; ``score_texts`` uses the whole tree instead. Without docs, every byte has probability 1/256."""
     rows = tree_counts(stage(count_grams(docs, p), "grams"), p).toArrow()  # at most (depth + 1) * share * 256 rows
     depth, context, byte, n = (rows.column(c).to_numpy() for c in ("depth", "context", "byte", "n"))
     levels = []
@@ -247,6 +251,231 @@ def tree_scores(bodies: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray
     return np.add.reduceat(logp, begins, dtype=np.float64), np.diff(np.append(begins, len(places)))
 
 
+SPLIT = 3  # last bytes of a context that name its subtree
+GRAMS_AT_ONCE = 3_000_000  # held by a task that counts
+
+
+class Top(NamedTuple):
+    """(keys, mixing, carry) of each depth below ``SPLIT``, the deepest first; a key is a context and a decision."""
+
+    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+class Level(NamedTuple):
+    """The decisions seen at the contexts of one depth, by key; ``up`` is the place of the same decision a depth above."""
+
+    keys: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    stop: np.ndarray
+    up: np.ndarray
+
+
+def shorter(key: np.ndarray, depth: int) -> np.ndarray:
+    """Keys (context << 8 | entry), or grams, with the context cut to its last ``depth`` bytes."""
+    return key & ((1 << (8 * (max(depth, 0) + 1))) - 1)
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their sums."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[begins], np.add.reduceat(n, begins)
+
+
+def distinct_of(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys in order, by sorting: of many different keys that is much faster than ``np.unique``, which hashes them."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
+def log_counts(n: np.ndarray, plus: float, known: dict = {}) -> np.ndarray:  # noqa: B006  remembers the small ones
+    """log_gamma of n + plus."""
+    if plus not in known:
+        known[plus] = log_gamma(np.arange(4096) + plus)
+    out = known[plus][np.minimum(n, 4095)]
+    large = np.flatnonzero(n > 4095)
+    out[large] = log_gamma(n[large] + plus)
+    return out
+
+
+def decisions(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """[8, gram] keys of the decisions that make up the byte of each gram, from its highest bit on, and how they fall."""
+    bit = np.arange(8)[:, None]
+    byte = gram & 255
+    return (gram - byte) | ((256 | byte) >> (8 - bit)), (byte >> (7 - bit)) & 1
+
+
+def climb(
+    keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray | None, deepest: int, last: int
+) -> tuple[list[Level], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The levels from ``deepest`` to ``last``, and (keys, zeros, ones, split) of the one above.
+
+    ``split`` is the log probability that the longer contexts give to all decisions seen, None at the full depth.
+    """
+    levels = []
+    for d in range(deepest, last - 1, -1):
+        below = log_counts(zeros, 0.5) + log_counts(ones, 0.5) - log_counts(zeros + ones, 1.0) - np.log(np.pi)
+        stop = np.ones(len(keys))
+        if split is not None:
+            gain = split - below
+            stop = 1.0 / (1.0 + np.exp(np.clip(gain, -700, 700)))
+            below = below + np.log(0.5) + np.logaddexp(0.0, gain)
+        above, up = np.unique(shorter(keys, d - 1), return_inverse=True)
+        levels.append(Level(keys, zeros, ones, stop, up))
+        add = lambda x: np.bincount(up, weights=x, minlength=len(above))  # noqa: B023, E731
+        keys, zeros, ones, split = above, add(zeros).astype(np.int64), add(ones).astype(np.int64), add(below)
+    return levels, (keys, zeros, ones, split)
+
+
+def subtrees(gram: np.ndarray, n: np.ndarray, p: TreeParams) -> tuple[list[Level], tuple]:
+    """``climb`` of the grams with a context of the full depth, up to the contexts of ``SPLIT`` bytes."""
+    keys, falls = decisions(gram)
+    distinct, at = np.unique(keys.ravel(), return_inverse=True)
+    add = lambda x: np.bincount(at.ravel(), weights=x.ravel(), minlength=len(distinct)).astype(np.int64)
+    return climb(distinct, add(n * (1 - falls)), add(n * falls), None, p.depth, min(SPLIT, p.depth))
+
+
+def descend(levels: list[Level], mixing: np.ndarray, carry: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, mixing, carry) of the levels, the deepest first, from those of the level above them all."""
+    out = []
+    for keys, zeros, ones, stop, up in reversed(levels):
+        mixing, carry = mixing[up] + carry[up] * stop * (ones + 0.5) / (zeros + ones + 1.0), carry[up] * (1 - stop)
+        out.append((keys, mixing, carry))
+    return out[::-1]
+
+
+def gram_logp(gram: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> np.ndarray:
+    """log10 probability of the byte of each gram; ``levels`` from ``depth`` to 0. What no context has seen is even."""
+    keys, falls = (x.ravel() for x in decisions(gram))
+    mixing, carry, open_ = np.zeros(len(keys)), np.ones(len(keys)), np.arange(len(keys))
+    for d, (known, mix, left) in zip(range(depth, -1, -1), levels):
+        if not len(known):
+            continue
+        wanted = shorter(keys[open_], d)
+        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+        hit = known[at] == wanted
+        mixing[open_[hit]], carry[open_[hit]] = mix[at[hit]], left[at[hit]]
+        open_ = open_[~hit]
+    one = mixing + carry * 0.5
+    return np.log10(np.where(falls == 1, one, 1 - one)).reshape(8, -1).sum(axis=0)
+
+
+def dealt(gram: np.ndarray, chunks: int, p: TreeParams) -> Iterator[tuple[int, np.ndarray]]:
+    """(chunk, places of its grams in order); grams whose contexts share their last ``SPLIT`` bytes are in one chunk."""
+    chunk = (mixed(shorter(gram >> 8, min(SPLIT, p.depth) - 1).astype(np.uint64)) % np.uint64(chunks)).astype(np.int64)
+    order = np.argsort(chunk, kind="stable")
+    begins = np.flatnonzero(np.append(True, chunk[order][1:] != chunk[order][:-1])) if len(gram) else order
+    for places in np.split(order, begins[1:]) if len(gram) else []:
+        yield int(chunk[places[0]]), places
+
+
+def numbers_in(values: pa.ChunkedArray, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(b"".join(values.to_pylist()), kind)
+
+
+def train_chunks(train: DataFrame, chunks: int, p: TreeParams) -> DataFrame:
+    """[chunk, gram, n, key, zeros, ones, split], one row of packed numbers for each chunk of train [text bytes].
+
+    The last four are what its subtrees add to the level above them.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            rows = [(c, gram[at].tobytes(), n[at].tobytes()) for c, at in dealt(gram, chunks, p)]
+            types = (("chunk", pa.int64()), ("gram", pa.binary()), ("n", pa.binary()))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], [c for c, _ in types])
+
+        gram, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for run in runs(batch, 3 << 20):
+                data, places, _ = laid_out(texts(run), p.depth)
+                new, times = np.unique(packed(data, places, p.depth), return_counts=True)
+                gram, n = summed(np.concatenate([gram, new]), np.concatenate([n, times]))
+                if len(gram) > GRAMS_AT_ONCE:
+                    yield flush()
+                    gram, n = gram[:0], n[:0]
+        yield flush()
+
+    def join(table: pa.Table) -> pa.Table:
+        gram, n = summed(numbers_in(table["gram"]), numbers_in(table["n"]))
+        _, above = subtrees(gram, n, p)
+        packs = [pa.array([x.tobytes()], pa.binary()) for x in (gram, n, *above)]
+        return pa.table([table["chunk"].combine_chunks()[:1], *packs], ["chunk", "gram", "n", "key", "zeros", "ones", "split"])
+
+    counted = train.select("text").mapInArrow(count, "chunk long, gram binary, n binary")
+    packs = "chunk long, gram binary, n binary, key binary, zeros binary, ones binary, split binary"
+    return counted.groupBy("chunk").applyInArrow(join, packs)
+
+
+def train_top(trained: DataFrame, p: TreeParams) -> Top:
+    """The tree above the subtrees, from what they add to it."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = [numbers_in(batch["key"]), numbers_in(batch["zeros"]), numbers_in(batch["ones"]), numbers_in(batch["split"], np.float64)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in numbers], ["key", "zeros", "ones", "split"])
+
+    each = trained.select("key", "zeros", "ones", "split").mapInArrow(add, "key long, zeros long, ones long, split double")
+    sums = each.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "split"))).toArrow().sort_by("key")
+    # At most 255 decisions for each of the 65,536 contexts of two bytes, however large the corpus is.
+    levels, _ = climb(*(sums[c].to_numpy() for c in ("key", "zeros", "ones", "split")), min(SPLIT, p.depth) - 1, 0)
+    size = len(levels[-1].keys)
+    return Top(descend(levels, np.zeros(size), np.ones(size)))
+
+
+def ask_chunks(rows: DataFrame, chunks: int, p: TreeParams) -> DataFrame:
+    """[block, chunk, gram]: the distinct grams of each block of rows [block, text bytes], packed by chunk."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        gram = waiting = np.zeros(0, np.int64)
+        for batch in table.to_batches():
+            for run in runs(batch, 3 << 20):
+                data, places, _ = laid_out(texts(run), p.depth)
+                waiting = np.concatenate([waiting, distinct_of(packed(data, places, p.depth))])
+                if len(waiting) > GRAMS_AT_ONCE:
+                    gram, waiting = distinct_of(np.concatenate([gram, waiting])), waiting[:0]
+        gram = distinct_of(np.concatenate([gram, waiting]))
+        asked = [(c, gram[at].tobytes()) for c, at in dealt(gram, chunks, p)]
+        block = table["block"][0].as_py()
+        return pa.table(
+            [pa.array([block] * len(asked), pa.int64()), pa.array([c for c, _ in asked], pa.int64()), pa.array([g for _, g in asked], pa.binary())],
+            ["block", "chunk", "gram"],
+        )
+
+    return rows.select("block", "text").groupBy("block").applyInArrow(ask, "block long, chunk long, gram binary")
+
+
+def answer_blocks(trained: DataFrame, asked: DataFrame, p: TreeParams) -> DataFrame:
+    """[block, gram, logp], packed: what each block has asked for, from the subtrees of ``trained``."""
+    top = shared(asked.sparkSession, train_top(trained, p))
+
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        above = top().levels
+        levels, (keys, *_) = subtrees(numbers_in(own["gram"]), numbers_in(own["n"]), p)
+        at = np.searchsorted(above[0][0], keys)
+        levels = descend(levels, above[0][1][at], above[0][2][at])
+        packs = asked["gram"].to_pylist()
+        gram, row = np.unique(np.frombuffer(b"".join(packs), np.int64), return_inverse=True)
+        logp = gram_logp(gram, [*levels, *above], p.depth).astype(np.float32)[row]
+        ends = np.cumsum([len(pack) // 8 for pack in packs])[:-1]
+        return pa.table([asked["block"], asked["gram"], pa.array([x.tobytes() for x in np.split(logp, ends)] if packs else [], pa.binary())], ["block", "gram", "logp"])
+
+    both = asked.groupBy("chunk").cogroup(trained.select("chunk", "gram", "n").groupBy("chunk"))
+    return both.applyInArrow(answer, "block long, gram binary, logp binary")
+
+
+def asked_scores(bodies: list[bytes], gram: np.ndarray, logp: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability and length in bytes of each text, from the sorted grams of its block."""
+    data, places, begins = laid_out(bodies, depth)
+    distinct, at = np.unique(packed(data, places, depth), return_inverse=True)
+    found = logp[np.searchsorted(gram, distinct)][at]
+    return np.add.reduceat(found, begins, dtype=np.float64), np.diff(np.append(begins, len(places)))
+
+
 def count_tokens(docs: DataFrame) -> DataFrame:
     """[word, c] of docs [text bytes], END among the words."""
 
@@ -272,7 +501,6 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
     """
     spark = docs.sparkSession
     learn = train.select(F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    tree = shared(spark, train_tree(learn, p))
     seen = Observation()
     counts = stage(
         count_tokens(learn).observe(seen, F.count(F.lit(1)).alias("distinct"), F.sum("c").alias("all")), "words"
@@ -285,13 +513,26 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
     below = float(np.log10(total + distinct + 1.0))
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = docs.select("doc_id", F.xxhash64("doc_id", body).alias("row"), body.alias("text"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = tree(), rank().counts
+    # Both numbers grow with the texts, so that what a task holds does not.
+    size_of = lambda df: df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    asking = size_of(rows)
+    blocks = max(spark.sparkContext.defaultParallelism, -(-asking // p.block))
+    chunks = max(512, (asking + size_of(learn)) // p.block)
+    rows = rows.withColumn("block", F.pmod(F.col("row"), F.lit(blocks)))
+    trained = stage(train_chunks(learn, chunks, p), "subtrees")
+    answers = answer_blocks(trained, ask_chunks(rows, chunks, p), p)
+
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        gram, logp = numbers_in(answers["gram"]), numbers_in(answers["logp"], np.float32)
+        order = np.argsort(gram)
+        return pa.Table.from_batches(list(score_runs(docs.to_batches(), gram[order], logp[order])))
+
+    def score_runs(batches: list[pa.RecordBatch], gram: np.ndarray, answered: np.ndarray) -> Iterator[pa.RecordBatch]:
+        frequent = rank().counts
         for batch in batches:
             for run in runs(batch, 2 << 20):
                 bodies, keys = texts(run), column(run, "row").to_pylist()
-                logp, size = tree_scores(bodies, model)
+                logp, size = asked_scores(bodies, gram, answered, p.depth)
                 n_tokens, n_known, base = [], [], []
                 rare_word, rare_row, rare_n = [], [], []
                 for key, text in zip(keys, bodies):
@@ -319,7 +560,7 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    parts = rows.mapInArrow(
+    parts = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score,
         f"word binary, row long, n long, copies long, doc_id {id_type}, n_tokens long, n_known long, base double, score double, size long",
     )

@@ -114,3 +114,25 @@ def test_nothing_to_learn_from(odd, empty):
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in rows] == [(2, 0, 0, 0.0)]
     assert abs(rows[0]["score"] - 4 * math.log10(1 / 256)) < 1e-4 and abs(rows[0]["bits_per_byte"] - 8) < 1e-4
     assert lm.score_texts(empty, odd).collect() == []
+
+
+def test_whole_tree_is_scored(spark):
+    """No context is left out for being rare: the scores are those of the plain tree with every context as a node."""
+    train = [(t or "",) for t in TRAIN]
+    learn = spark.createDataFrame(train, "text string")
+    texts = ["abra cab", "", "zé", "A  b", "cadabra abra", "quite new"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for depth in (1, 2, 3, 5):
+        plain = PlainTree([t.encode() for t, in train], depth, 10**9)
+        for block in (32 << 20, 4):
+            rows = lm.score_texts(docs, learn, TreeParams(depth=depth, block=block)).collect()
+            got = {r["doc_id"]: r["score"] for r in rows}
+            assert np.allclose([got[i] for i in range(len(texts))], [plain.score(t.encode()) for t in texts], atol=1e-4)
+
+
+def test_rare_contexts_keep_their_counts(spark):
+    """Unrelated text must not take the contexts of a small source out of the tree."""
+    docs = spark.createDataFrame([(1, "qzj xvk wqz")], "doc_id long, text string")
+    score = lambda rows: lm.score_texts(docs, spark.createDataFrame(rows, "text string"), TreeParams(share=64)).first()["score"]
+    rare = [("qzj xvk wqz",)] * 20
+    assert abs(score(rare + [("0123456789" * 40,)] * 200) - score(rare)) < 4
