@@ -1,7 +1,8 @@
 """Licence scan in DataFrame functions only: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-Notices are the lines of a text that name a licence or a copyright, and the whole text of a licence file. Distinct notices are
-scored once against the templates by a join on terms. A file without a notice of its own takes the licence of the
+Notices are the lines of a text that name a licence or a copyright, its header blocks (wrapped or comment lines that stand
+together, put into one) and the whole text of a licence file. Distinct notices are scored once against the templates of all
+kinds (short notice, header, title, full text) by a join on terms; SPDX tags are read for what they name. A file without a notice of its own takes the licence of the
 licence file in the nearest directory above it, found by a join on its ancestor paths.
 """
 
@@ -28,11 +29,63 @@ TEMPLATES = {
     "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0",
 }
 
+MIT_GRANT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+)
+MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+)
+BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+)
+GNU_HEADER = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free "
+    "Software Foundation, either version 3 of the License, or (at your option) any later version."
+)
+GNU_TITLE = (
+    "GNU {}General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute "
+    "verbatim copies of this license document, but changing it is not allowed."
+)
+# The other kinds of wording: titles, headers of files, and full texts or the paragraph that opens them.
+MORE = [
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", BSD_GRANT),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("GPL-3.0", "GNU General Public License Version 3"),
+    ("GPL-3.0", GNU_TITLE.format("")),
+    ("GPL-3.0", GNU_HEADER.format("program", "")),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3"),
+    ("LGPL-3.0", GNU_TITLE.format("Lesser ")),
+    ("LGPL-3.0", GNU_HEADER.format("library", "Lesser ")),
+    ("MIT", "MIT License"),
+    ("MIT", MIT_GRANT),
+    ("MIT", f"MIT License Copyright (c) {MIT_GRANT} {MIT_REST}"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+     "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+]
+
 
 class LicenseParams(NamedTuple):
-    """``marker``: a line with a match is a notice. ``file``: names of licence files. ``cosine``: the least that counts."""
+    """``marker``: a line or block with a match is a notice. ``comment``: what begins a comment line. Lines of more than
+    ``wrapped`` characters are paragraphs of their own and belong to no block. ``spdx``: a tag, with what it names. ``file``: names of licence files. ``cosine``: the least that counts."""
 
-    marker: str = r"(?i)licen[sc]|copyright|spdx"
+    marker: str = r"(?i)licen[sc]|copyright|spdx|permission is hereby granted|redistribution and use|creative commons"
+    comment: str = r"(?m)^[ \t]*(?://+!?|#+|/\*+|\*+/|\*+|--+|;+|%+|<!--|\.\.)[ \t]*"
+    wrapped: int = 120
+    spdx: str = r"(?i)spdx-license-identifier\s*:\s*([^\r\n]*)"
     file: str = r"(?i)^(licen[sc]e|copying|notice)([.-].*)?$"
     cosine: float = 0.5
 
@@ -41,19 +94,34 @@ def terms_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def template_terms(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """[license, term, tf] of the templates, a bounded parameter."""
-    rows = spark.createDataFrame(sorted(templates.items()), "license string, template string")
-    return rows.select("license", F.explode(terms_of(F.col("template"))).alias("term")).groupBy("license", "term").agg(F.count(F.lit(1)).alias("tf"))
+def template_terms(spark: SparkSession, templates: dict[str, str], more: list[tuple[str, str]]) -> DataFrame:
+    """[template, license, term, tf] of the templates, a bounded parameter."""
+    every = [*sorted(templates.items()), *(m for m in more if m[0] in templates)]
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(every)], "template int, license string, text string")
+    terms = rows.select("template", "license", F.explode(terms_of(F.col("text"))).alias("term"))
+    return terms.groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def score_tags(notices: DataFrame, p: LicenseParams, templates: dict[str, str]) -> DataFrame:
+    """[notice, license, score] of SPDX tags [notice]: 1 for the smallest known name in the expression."""
+    names = [(v.lower(), k) for k in sorted(templates) for v in (k, f"{k}+", f"{k}-only", f"{k}-or-later")]
+    known = F.create_map(*(F.lit(x) for pair in names for x in pair))
+    said = F.split(F.lower(F.regexp_extract("notice", p.spdx, 1)), r"[^a-z0-9.+-]+")
+    found = F.array_min(F.filter(F.transform(said, lambda x: F.try_element_at(known, x)), lambda x: x.isNotNull()))
+    return notices.select("notice", found.alias("license"), F.lit(1.0).alias("score")).where(F.col("license").isNotNull())
 
 
-def score_notices(notices: DataFrame, p: LicenseParams, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def score_notices(
+    notices: DataFrame, p: LicenseParams, templates: dict[str, str] = TEMPLATES, more: list[tuple[str, str]] = MORE
+) -> DataFrame:
     """[notice, license, score] of the distinct notices [notice, n] that are near a template; ties to the smaller name.
 
     Document frequencies are counted over all notices; a term of no template weighs as one that occurs once.
     """
+    is_tag = F.col("notice").rlike(p.spdx) & ~F.col("notice").contains("\n")
+    tags, notices = score_tags(notices.where(is_tag), p, templates), notices.where(~is_tag)
     terms = notices.select("notice", "n", F.explode(terms_of(F.col("notice"))).alias("term")).groupBy("notice", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = template_terms(notices.sparkSession, templates)
+    known = template_terms(notices.sparkSession, templates, more)
     vocabulary = known.select("term").distinct()
     counted = terms.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.sum("n").alias("df"))
     total = notices.agg(F.sum("n")).first()[0] or 0
@@ -63,21 +131,29 @@ def score_notices(notices: DataFrame, p: LicenseParams, templates: dict[str, str
     weighted = terms.join(F.broadcast(idf), "term", "left").select(
         "notice", "term", (F.col("tf") * F.coalesce(F.col("idf"), weight(F.lit(1)))).alias("w")
     )
-    template = known.join(idf, "term").select("license", "term", (F.col("tf") * F.col("idf")).alias("v"))
-    lengths = template.groupBy("license").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    unit = template.join(lengths, "license").select("license", "term", (F.col("v") / F.col("length")).alias("v"))
+    template = known.join(idf, "term").select("template", "license", "term", (F.col("tf") * F.col("idf")).alias("v"))
+    lengths = template.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
+    unit = template.join(lengths, "template").select("template", "license", "term", (F.col("v") / F.col("length")).alias("v"))
     norm = weighted.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = weighted.join(F.broadcast(unit), "term").groupBy("notice", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    dot = weighted.join(F.broadcast(unit), "term").groupBy("notice", "template", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     scored = stage(
         dot.join(norm, "notice").select("notice", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")), "scored"
     )
     best = scored.groupBy("notice").agg(F.max("score").alias("score"))
     return (
         scored.join(best, ["notice", "score"]).where(F.col("score") >= p.cosine).groupBy("notice", "score")
-        .agg(F.min("license").alias("license")).select("notice", "license", "score")
+        .agg(F.min("license").alias("license")).select("notice", "license", "score").unionByName(tags)
     )
 
 
+def header_blocks(text: Column, p: LicenseParams) -> Column:
+    """Wrapped and comment lines that stand together, as one notice each without their comment signs, if it has a marker."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?m)^[^\n]{%d,}$" % (p.wrapped + 1), ""), p.comment, "")
+    tagless = F.regexp_replace(bare, p.spdx, "")  # a tag is a notice by itself
+    blocks = F.transform(F.split(tagless, r"\n[ \t\r]*(?:\n[ \t\r]*)*\n|\A\s+"), lambda b: F.trim(F.regexp_replace(b, r"\s+", " ")))
+    return F.filter(blocks, lambda b: b.rlike(p.marker))
+
+
 def ancestors(path: Column) -> Column:
     """The directories above a path, the root '' first."""
     parts = F.split(path, "/")
@@ -93,6 +169,7 @@ def scan_licenses(files: DataFrame, p: LicenseParams = LicenseParams(), template
     name = F.element_at(F.split("path", "/"), -1)
     is_license_file = F.coalesce(name.rlike(p.file), F.lit(False))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(p.marker))
+    lines = F.array_union(lines, header_blocks(F.col("text"), p))  # a block of one line is that line
     found = F.when(is_license_file, F.array_append(lines, F.col("text"))).otherwise(lines)
     slim = files.select("file_id", "path", F.when(F.col("text").isNotNull(), found).otherwise(F.array().cast("array<string>")).alias("notices"), is_license_file.alias("is_file"))
     staged = stage(slim.withColumn("row", F.xxhash64("file_id", "path", "notices")), "notices")

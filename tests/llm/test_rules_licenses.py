@@ -91,3 +91,21 @@ def test_templates_find_themselves(spark):
 
 def test_licenses_empty(spark):
     assert scan(spark, []) == {}
+
+
+def test_full_texts_headers_and_tags(spark):
+    import textwrap
+
+    wrap = lambda text, sign="": "\n".join(sign + line for line in textwrap.wrap(text, 70))
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + wrap(licenses.MIT_GRANT) + "\n\n" + wrap(licenses.MIT_REST)
+    bsd = "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + wrap(licenses.BSD_GRANT) + "\n\n1. Redistributions of source code must retain the above copyright notice.\n"
+    mpl, gnu = licenses.MORE[-1][1], licenses.GNU_HEADER
+    got = scan(spark, [
+        (1, "a/LICENSE", mit), (2, "b/LICENSE", "BSD 3-Clause License\n\n" + bsd), (3, "c/x.py", wrap(licenses.BSD_GRANT, "# ") + "\n\nimport x"),
+        (4, "d/x.c", "// SPDX-License-Identifier: MIT\nint x;"), (5, "e/x.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */\nint x;"),
+        (6, "f/x.py", wrap(gnu.format("program", ""), "# ") + "\n#\n# You have a copy.\n"), (7, "g/x.js", "/*\n" + wrap(mpl, " * ") + "\n */\ncode()"),
+        (8, "h/COPYING", "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nmore"), (9, "a/y.txt", "no word of it"),
+        (10, "i/x.c", "// SPDX-License-Identifier: Zlib\n"), (11, "j/x.c", "int x; // " + mit.replace("\n", "\r\n")),
+    ])
+    want = ["MIT", "BSD-3-Clause", "BSD-3-Clause", "MIT", "GPL-3.0", "GPL-3.0", "MPL-2.0", "LGPL-3.0", "MIT", None, "MIT"]
+    assert [got[i][0] for i in range(1, 12)] == want and got[9][1] == "directory"
