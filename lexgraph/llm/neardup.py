@@ -32,7 +32,7 @@ class NearDup(NamedTuple):
 
     With 40 values in chunks of 4 every pair of signatures at distance 19 or less is found; a pair of sets with a
     similarity of 0.85 exceeds that with a chance of 2e-7, one of 0.8 with 1e-5.
-    ``block`` bounds the shingles that a task compares at once.
+    ``block`` bounds the shingles that a task compares at once, ``most`` the classes.
     """
 
     shingle: int = 5
@@ -41,6 +41,7 @@ class NearDup(NamedTuple):
     chunk: int = 4
     bits: int = 16
     block: int = 250_000
+    most: int = 1_500
 
 
 def seeds(count: int) -> np.ndarray:
@@ -194,9 +195,10 @@ def ring_edges(measured: DataFrame, roots: DataFrame, sets: DataFrame, p: NearDu
         measured.join(roots, "node", "left").select("hub", "node", "n", F.coalesce("root", "node").alias("root"), ring.alias("ring"))
         .select("hub", "node", "n", "root", F.explode(F.array(F.col("ring"), F.col("ring") + 1)).alias("ring"))
     )
+    blocks = F.ceil(F.greatest(F.sum("n") / p.block, F.count(F.lit(1)) / p.most)).cast("int").alias("blocks")
     open_rings = (
         placed.groupBy("hub", "ring")
-        .agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.sum("n") / p.block).cast("int").alias("blocks"))
+        .agg(F.min("root").alias("a"), F.max("root").alias("b"), blocks)
         .where("a < b").select("hub", "ring", "blocks")
     )
     # A class of block i takes part in the pairs {i, j} for all j.
@@ -243,6 +245,16 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """
     signed = stage(sign_documents(docs, p), "signed")
     pairs = stage(hub_pairs(signed.select("node", "keys")), "pairs")
+    found = link_classes(docs, signed, pairs, p)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def link_classes(docs: DataFrame, signed: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
+    """[doc_id, n_shingles, component_id] of every row of the staged ``signed`` [doc_id, n_shingles, node].
+
+    ``pairs`` [node, hub], staged: every two classes that may be linked are a pair, or have a hub in common. Links are
+    confirmed on full sets.
+    """
     classes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     involved = pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct()
     sets = class_sets(docs, classes.join(involved, "node"), p)
@@ -257,9 +269,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     by_node = named.join(ids, "root").select("node", "component_id")
     found = signed.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return found.select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:

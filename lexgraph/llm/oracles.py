@@ -108,4 +108,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
-ORACLES = {"op2_substring": SUBSTRING, "op4_rules": rules_sql(), "op8_neardup": NEAR}
+def jaccard_sql(shingle: int = 5, percent: int = 80) -> str:
+    """The SQL of near duplicates with other words and another bound, and without ``kept``."""
+    sql = NEAR.replace("AND 2 FOLLOWING", f"AND {shingle - 1} FOLLOWING").replace("n = 3", f"n = {shingle}")
+    sql = sql.replace("BETWEEN 1 AND 2", f"BETWEEN 1 AND {shingle - 1}").replace(">= 85 *", f">= {percent} *")
+    return sql.replace(" AS component_id,\n       doc_id <= coalesce(m, doc_id) AS kept", " AS component_id")
+
+
+NEGATIVES = """WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM given a JOIN given b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
+CRC32 = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+  lambda a, b: list_reduce([xor(a, b)] || range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))))"""
+
+
+def merkle_field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def merkle_leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(merkle_field(f) for f in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+def merkle_tree(name: str, base: str) -> str:
+    """Nodes [g, level, pos, node, n] above those of ``base`` [g, pos, node, n]; n is the number on the level."""
+    return f"""{name}(g, level, pos, node, n) AS (
+  SELECT g, 0, pos, node, n FROM {base}
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY g, level, pos // 2, n)"""
+
+
+MERKLE = f"""WITH RECURSIVE digests AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {merkle_leaf("n_chars")} AS node,
+         CASE WHEN n_chars IS NOT NULL AND {CRC32} % 7 = 0 THEN {merkle_leaf("n_chars + 1")} END AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM digests),
+{merkle_tree("trees", "leaves")},
+parts AS (SELECT '' AS g, g AS part, row_number() OVER (ORDER BY g) - 1 AS pos, node, count(*) OVER () AS n FROM trees WHERE n = 1),
+{merkle_tree("crown", "parts")},
+up AS (SELECT DISTINCT g, level FROM trees WHERE n > 1),
+above AS (SELECT DISTINCT level FROM crown WHERE n > 1),
+steps AS (
+  SELECT l.g, l.pos, up.level, (l.pos >> up.level) % 2 AS r, coalesce(t.node, '') AS sibling
+  FROM leaves l JOIN up USING (g) LEFT JOIN trees t ON t.g = l.g AND t.level = up.level AND t.pos = xor(l.pos >> up.level, 1)
+  UNION ALL
+  SELECT l.g, l.pos, 1000 + above.level, (p.pos >> above.level) % 2, coalesce(c.node, '')
+  FROM leaves l JOIN parts p ON p.part = l.g CROSS JOIN above LEFT JOIN crown c ON c.level = above.level AND c.pos = xor(p.pos >> above.level, 1)),
+paths AS (SELECT g, pos, string_agg(sibling, '' ORDER BY level) AS all_of, list(r || sibling ORDER BY level) AS path FROM steps GROUP BY g, pos),
+found AS (
+  SELECT l.doc_id, l.node AS leaf, p.node AS subroot, (SELECT node FROM crown WHERE n = 1) AS root, sha256(coalesce(all_of, '')) AS proof_sha256,
+         list_reduce([coalesce(claimed, l.node)] || coalesce(path, []),
+           lambda a, s: sha256(CASE WHEN s[1] = '1' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+  FROM leaves l JOIN parts p ON p.part = l.g LEFT JOIN paths ON paths.g = l.g AND paths.pos = l.pos)
+SELECT *, folded_root = root AS verified FROM found"""
+
+
+ORACLES = {
+    "op2_substring": SUBSTRING, "op4_rules": rules_sql(), "op8_neardup": NEAR, "op11_jaccard": jaccard_sql(), "op12_negatives": NEGATIVES,
+    "op13_merkle": MERKLE,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexgraph.llm import bpe, decontam, langid, licenses, lm, neardup, quality, rules, substring, toxicity
+from lexgraph.llm import bpe, decontam, jaccard, langid, licenses, lm, merkle, neardup, negatives, quality, rules, substring, toxicity
 from lexgraph.llm.common import documents, in_fold
 from lexgraph.llm.oracles import ORACLES as ORACLES  # for the driver's entry
 
@@ -85,6 +85,35 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with an id divisible by 100 ask; every seventh id has the label of another class."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    wrong = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    label = F.when(wrong, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    given = rows.select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return negatives.hard_negatives(given, F.col("vec_id") % 100 == 0)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents`` in parts by language, held against a copy with a changed ``n_chars`` in every seventh document."""
+    docs = documents(spark, sf_dir)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False)) & F.col("n_chars").isNotNull()
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    claim = lambda n: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text"))
+    rows = docs.select(
+        "doc_id", F.col("lang").alias("part"), claim(n_chars).alias("leaf"), F.when(tampered, claim(n_chars + 1)).alias("claimed")
+    )
+    found = merkle.manifest(rows, "doc_id").withColumn("folded_root", merkle.folded(F.col("path"), F.coalesce("claimed", "leaf")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_substring": op2_substring,
@@ -96,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_decontam": op9_decontam,
     "op10_ctw": op10_ctw,
+    "op11_jaccard": op11_jaccard,
+    "op12_negatives": op12_negatives,
+    "op13_merkle": op13_merkle,
 }
