@@ -229,7 +229,7 @@ def scan_page(page: str, fields: frozenset[str], sel: Selectors) -> dict:
     out = {
         "links": [{"href": c.attrs["href"], "text": c.text()} for c in links if "href" in c.attrs],
         "tags": [c.text() for c in done if c.kind == "tag"],
-        "input": entered or "",
+        "input": entered,
         "toc": [{"href": c.attrs.get("href", ""), "text": c.text()} for c in links if c.in_toc],
         "meta": metas,
         "body_text": done[0].text() if "body_text" in fields else "",
@@ -258,32 +258,40 @@ FIELDS = {
 }
 
 
+FAILURES = pa.list_(pa.struct([("field", pa.string()), ("reason", pa.string())]))
+
+
 def parse_html(c: Column, fields: tuple[str, ...], selectors: Selectors = Selectors()) -> Column:
-    """Struct of the asked raw fields of each page and ``failed``.
+    """Struct of the asked raw fields of each page, and ``failures`` [field, reason].
 
     If a page cannot be read, its fields are read one by one: those that can be keep their values, the others
-    are empty, and ``failed`` is true.
+    are empty and have the name of the error as their reason. A page without the asked input box fails in that field as ``missing``.
     """
     wanted = frozenset(fields)
-    arrow = pa.struct([*((f, FIELDS[f][0]) for f in fields), ("failed", pa.bool_())])
-    ddl = ", ".join([*(f"{f}: {FIELDS[f][1]}" for f in fields), "failed: boolean"])
+    arrow = pa.struct([*((f, FIELDS[f][0]) for f in fields), ("failures", FAILURES)])
+    ddl = ", ".join([*(f"{f}: {FIELDS[f][1]}" for f in fields), "failures: array<struct<field:string,reason:string>>"])
     blank = {f: [] if pa.types.is_list(FIELDS[f][0]) else "" for f in fields}
 
     def one(page: str | None) -> dict:
         if not page:
-            return blank | {"failed": False}
+            return blank | {"failures": []}
+        failures = []
         try:
-            return scan_page(page, wanted, selectors) | {"failed": False}
+            found = scan_page(page, wanted, selectors)
         except Exception:  # whatever a broken page does to the scanner
-            return blank | one_by_one(page) | {"failed": True}
+            found = one_by_one(page, failures)
+        if found.get("input", "") is None:
+            found["input"] = ""
+            failures.append({"field": "input", "reason": "missing"})
+        return blank | found | {"failures": failures}
 
-    def one_by_one(page: str) -> dict:
+    def one_by_one(page: str, failures: list[dict]) -> dict:
         found = {}
         for field in fields:
             try:
                 found |= scan_page(page, frozenset([field]), selectors)
-            except Exception:  # only this field stays empty
-                continue
+            except Exception as error:  # only this field stays empty
+                failures.append({"field": field, "reason": type(error).__name__})
         return found
 
     @F.arrow_udf(f"struct<{ddl}>")

@@ -1,14 +1,17 @@
 """Tag hierarchy: edges from co-occurrence, layers, root-to-tag paths, paths of terms.
 
-Edges run child -> parent and form a DAG. The loops below run one step per layer (layers) or
+Edges run child -> parent and form a DAG. The loops below run one step per layer (layers, while many edges are left) or
 per doubling of the path length (paths); every step is staged, so neither lineage nor the
 driver grows with the graph.
 """
 
 from __future__ import annotations
 
+import sys
 from typing import NamedTuple
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ from lexgraph.functions.strings import jsplit
 from lexgraph.plans.lookup import lookup_join
 from lexgraph.plans.stage import MAX_BROADCAST_ROWS, Staged, lookup_side, new_path, stage, stage_sized
 
+# Ship the functions of this module with the task, so executors need no installation of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def tag_edges(cooccur: DataFrame, thres: float, min_co: int = 10) -> DataFrame:
     """[child, parent] of strongly paired tags; the rarer tag is the child.
@@ -40,39 +46,80 @@ class TagLayers(NamedTuple):
 def _rounds(edges: Staged) -> tuple[DataFrame, int]:
     """[child, parent, round], the round in which the parent is nobody's child any more; and their number.
 
-    Each round takes away the edges of the current top tags. Equal to one plus the longest path
-    from a root to the parent. A round that takes nothing away has met a cycle.
+    Each round takes the edges of the current top tags. Equal to one plus the longest path
+    from a root to the parent. A round that takes nothing has met a cycle.
+
+    Rounds are deltas: every tag has the number of its parents, which is lowered by what a round took of them, and the tags that come to none
+    are the next tops. A round reads the edges left and writes what it took; the edges are written anew only when half of
+    them are gone. As soon as those left are few enough to be broadcast, one task does the other rounds, so a deep graph's long tail is read once.
     """
     spark = edges.df.sparkSession
     root = new_path(spark, "rounds")
-    rest, left, rnd = edges.df, edges.rows, 0
-    while left:
-        rnd += 1
-        ends = rest.select(F.col("child").alias("parent"), F.lit(1).alias("is_child")).unionByName(
-            rest.select("parent", F.lit(0).alias("is_child"))
-        )
-        tops, small = lookup_side(
-            ends.groupBy("parent").agg(F.max("is_child").alias("is_child")).where("is_child = 0").select("parent"),
-            "tops",
-            edges.small,
-        )
-        seen = Observation()
-        (
-            lookup_join(rest, tops.withColumn("is_top", F.lit(1)), "parent", small=small)
-            .select("child", "parent", F.coalesce("is_top", F.lit(0)).alias("is_top"))
-            .observe(seen, F.count_if(F.col("is_top") == 0).alias("left"))
-            .write.partitionBy("is_top")
-            .parquet(f"{root}/round={rnd}")
-        )
-        if seen.get["left"] == left:
-            raise ValueError("cycle in tag edges")
-        left = seen.get["left"]
-        read = spark.read.schema("child string, parent string, is_top int").parquet(f"{root}/round={rnd}")
-        rest = read.where("is_top = 0").select("child", "parent")
-    if not rnd:
-        return edges.df.withColumn("round", F.lit(0)), 0
-    read = spark.read.schema("child string, parent string, is_top int, round int").parquet(root)
-    return read.where("is_top = 1").select("child", "parent", "round"), rnd
+    kind = "child string, parent string"
+    rest, held, left, rnd = edges, edges.rows, edges.rows, 0
+    taken_by = []
+    if not rest.small:
+        # A tag's open parents; each round's tops are those that came to none.
+        is_child = edges.df.groupBy(F.col("child").alias("tag")).agg(F.count(F.lit(1)).alias("open"))
+        state = stage_sized(is_child, "open")
+        tops = stage_sized(edges.df.select(F.col("parent").alias("tag")).distinct().join(state.df, "tag", "left_anti"), "tops")
+        while left and not rest.small:
+            rnd += 1
+            seen = Observation()
+            place = f"{root}/round={rnd}"
+            lookup_join(rest.df, tops.df.select(F.col("tag").alias("parent")), "parent", "left_semi", tops.small).observe(
+                seen, F.count(F.lit(1)).alias("n")
+            ).write.parquet(place)
+            if not seen.get["n"]:
+                raise ValueError("cycle in tag edges")
+            left -= seen.get["n"]
+            taken = spark.read.schema(kind).parquet(place)
+            taken_by.append(place)
+            lowered = stage_sized(taken.groupBy(F.col("child").alias("tag")).agg(F.count(F.lit(1)).alias("gone")), "lowered")
+            after = lookup_join(state.df, lowered.df, "tag", small=lowered.small)
+            state = stage_sized(after.select("tag", (F.col("open") - F.coalesce("gone", F.lit(0))).alias("open")).where("open >= 0"), "open")
+            tops = stage_sized(state.df.where("open = 0").select("tag"), "tops")
+            # Tops leave the table of open tags; their edges go in the next round.
+            state = state._replace(df=state.df.where("open > 0"))
+            if 2 * left <= held:
+                gone = spark.read.schema(f"{kind}, round int").option("basePath", root).parquet(*taken_by).select(F.col("parent").alias("__p")).distinct()
+                rest = stage_sized(rest.df.join(gone, rest.df["parent"] == gone["__p"], "left_anti"), "edges_left")
+                held = left
+    if not left:
+        if not rnd:
+            return edges.df.withColumn("round", F.lit(0)), 0
+        read = spark.read.schema(f"{kind}, round int").parquet(root)
+        return read.select("child", "parent", "round"), rnd
+    done = rnd
+    whole = rest.df.withColumn("all", F.lit(0)).groupBy("all")
+    late = stage(whole.applyInArrow(lambda table: last_rounds(table, done), f"{kind}, round int"), "last_rounds")
+    most = late.agg(F.max("round"), F.min("round")).first()
+    if most[1] < 0:
+        raise ValueError("cycle in tag edges")
+    if not done:
+        return late, most[0]
+    early = spark.read.schema(f"{kind}, round int").parquet(root).select("child", "parent", "round")
+    return early.unionByName(late), most[0]
+
+
+def last_rounds(table: pa.Table, done: int) -> pa.Table:
+    """The rounds of a few edges [child, parent], the first one after ``done``; -1 for edges under a cycle."""
+    child, parent = table["child"].to_pylist(), table["parent"].to_pylist()
+    under, open_ = {}, {}
+    for at, (c, p) in enumerate(zip(child, parent)):
+        under.setdefault(p, []).append(at)
+        open_[c] = open_.get(c, 0) + 1
+    rounds, tops, now = [-1] * len(child), [p for p in under if p not in open_], done
+    while tops:
+        now, after = now + 1, []
+        for p in tops:
+            for at in under.get(p, ()):
+                rounds[at] = now
+                open_[child[at]] -= 1
+                if not open_[child[at]]:
+                    after.append(child[at])
+        tops = after
+    return pa.table({"child": table["child"], "parent": table["parent"], "round": pa.array(rounds, pa.int32())})
 
 
 def tag_layers(edges: DataFrame) -> TagLayers:

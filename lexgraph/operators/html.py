@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexgraph.functions.html import Selectors, parse_html
+from lexgraph.plans.stage import stage
 
 ALL_FIELDS = (
     "links", "tags", "input", "toc", "meta", "body_text", "first_href", "first_text", "first_outer", "first_inner",
@@ -34,6 +35,15 @@ def toc_entries(toc: Column) -> Column:
     return F.transform(top, lambda link: link["text"])
 
 
+def spread_pages(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it comes in fewer than half as many splits, else as it is: moving every page is dear.
+
+    ``df`` should be a scan; of files that cannot be split each is one split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def extract_html(
     df: DataFrame,
     html: str = "bk_html",
@@ -42,27 +52,40 @@ def extract_html(
     drop_suffixes: tuple[str, ...] = ("fr=navbar", "force=1"),
     strip: str = "#viewPageContent",
     selectors: Selectors = Selectors(),
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
     failures: Observation | None = None,
+    keep_failures: bool = False,
 ) -> DataFrame:
     """The columns of ``df`` without ``html``, plus one column per asked field.
 
     links, tags, toc, meta are arrays of strings; input, body_text and the first_* fields (href, text,
     outer and inner source of the first link) are strings. Missing pages give empty fields.
-    ``partitions`` spreads the pages first, for input of few unsplittable files; it moves every page.
-    ``failures`` gets ``failed``, the number of pages with a field that could not be read and is empty.
+    ``partitions`` spreads the pages first: over so many, if they come in few splits (``auto``), or not at all (``None``).
+    ``failures`` gets ``failed``, the number of pages with a field that could not be read and is empty. With ``keep_failures`` the last column
+    is ``failures``, [field, reason] of these fields.
     """
     if partitions:
-        df = df.repartition(partitions)
+        df = spread_pages(df) if partitions == "auto" else df.repartition(partitions)
     others = [c for c in df.columns if c != html]
     parsed = df.select(*others, parse_html(F.col(html), fields, selectors).alias("__page"))
     if failures is not None:
-        parsed = parsed.observe(failures, F.count_if(F.col("__page.failed")).alias("failed"))
+        parsed = parsed.observe(failures, F.count_if(F.size("__page.failures") > 0).alias("failed"))
     shaped = {
         "links": related_links(F.col("__page.links"), link_prefix, drop_suffixes, strip),
         "toc": toc_entries(F.col("__page.toc")),
     }
-    return parsed.select(*others, *[shaped.get(f, F.col(f"__page.{f}")).alias(f) for f in fields])
+    shown = (*fields, "failures") if keep_failures else fields
+    return parsed.select(*others, *[shaped.get(f, F.col(f"__page.{f}")).alias(f) for f in shown])
+
+
+def extract_with_failures(df: DataFrame, html: str = "bk_html", fields: tuple[str, ...] = ALL_FIELDS, **options) -> tuple[DataFrame, DataFrame]:
+    """``extract_html``, and [other columns of df, field, reason] of every field that could not be read.
+
+    Both come from one scan of the pages: what it finds is staged once, with the failures beside the fields.
+    """
+    found = stage(extract_html(df, html, fields, keep_failures=True, **options), "parsed_pages")
+    others = [c for c in df.columns if c != html]
+    return found.drop("failures"), found.select(*others, F.inline("failures"))
 
 
 def page_terms(records: DataFrame, key: str = "key", body: str = "body", **options) -> DataFrame:

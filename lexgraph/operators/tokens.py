@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lexgraph.plans.lookup import lookup_join
-from lexgraph.plans.stage import lookup_side
+from lexgraph.plans.lookup import counted_hot, lookup_join, salted_join
+from lexgraph.plans.stage import lookup_side, stage, stage_sized
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -15,46 +18,156 @@ def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     return df.select(*keep, F.posexplode(parts).alias("pos", "token"))
 
 
+# Fixed value: the frequency that a user word has in the lexicon, whatever its own.
+USER_FREQUENCY = 1024
+# Characters of a word by which the first level of the lexicon's prefix tree is keyed.
+HEAD = 3
+# Long tokens are matched by pieces of so many characters, each with what its last words need beyond.
+PIECE = 512
+
+
 def merge_lexicon(lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
-    """[word, nature] with one row per word; user words override, the largest code wins a repeat."""
-    ranked = lexicon.select("word", F.lit(0).alias("user"), "nature")
+    """[word, nature, frequency] with one row per word; user words override, the largest code wins a repeat.
+
+    ``frequency`` is that of the lexicon's rows for the word (1 for each row if there is no such column), and ``USER_FREQUENCY`` for user words.
+    """
+    frequency = F.col("frequency").cast("long") if "frequency" in lexicon.columns else F.lit(1).cast("long")
+    ranked = lexicon.select("word", F.lit(0).alias("user"), "nature", frequency.alias("frequency"))
     if user_lexicon is not None:
-        ranked = ranked.unionByName(user_lexicon.select("word", F.lit(1).alias("user"), "nature"))
-    return ranked.groupBy("word").agg(F.max(F.struct("user", "nature"))["nature"].alias("nature"))
+        added = user_lexicon.select("word", F.lit(1).alias("user"), "nature", F.lit(USER_FREQUENCY).cast("long").alias("frequency"))
+        ranked = ranked.unionByName(added)
+    best = ranked.groupBy("word").agg(
+        F.max(F.struct("user", "nature")).alias("best"), F.sum(F.when(F.col("user") == 0, F.col("frequency"))).alias("frequency")
+    )
+    own = F.when(F.col("best.user") == 1, F.lit(USER_FREQUENCY).cast("long")).otherwise(F.coalesce("frequency", F.lit(0).cast("long")))
+    return best.select("word", F.col("best.nature").alias("nature"), own.alias("frequency"))
 
 
 def tokens_with_nature(
     tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None, default: str = "x"
 ) -> DataFrame:
     """Tokens with the nature code of the lexicon, ``default`` for unknown ones."""
-    words = merge_lexicon(lexicon, user_lexicon).withColumnRenamed("word", "token")
+    words = merge_lexicon(lexicon, user_lexicon).select(F.col("word").alias("token"), "nature")
     joined = lookup_join(tokens, words, "token")
     return joined.select(*tokens.columns, F.coalesce("nature", F.lit(default)).alias("nature"))
 
 
-def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
-    """[*columns of tokens, start, word, nature]: longest lexicon word at each place of a token.
+def matches_in(distinct: DataFrame, words: DataFrame, small: bool) -> DataFrame:
+    """[token, start, n, nature, ...]: every lexicon word at every place of the tokens of ``distinct`` [token].
 
-    For scripts without blanks, where a token is a whole phrase. Each place whose character begins a
-    word is unrolled to the prefixes of the lengths that words with that character have, no others, so one
-    very long word adds one prefix to its places. One join with the lexicon brings the codes, one aggregate
-    keeps the longest. Matches may overlap; nothing is disambiguated.
+    ``words`` [word, nature, ...] is searched as a prefix tree of two levels: a place is extended to 1, 2, .. ``HEAD`` characters, and
+    only where words begin with these, to the lengths that such words have.
     """
-    words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != ""), "lexicon", small=False)
-    head = F.substring("word", 1, 1).alias("head")
-    # One row per character that begins a word, with its distinct word lengths.
+    head = F.substring("word", 1, HEAD).alias("head")
+    # Words of fewer characters are their own head, so under it stands no other length.
     heads = words.groupBy(head).agg(F.collect_set(F.length("word")).alias("lengths"))
-    characters = F.regexp_extract_all(F.col("token"), F.lit(r"(?s)(.)"), F.lit(1))
-    places = tokens.select(*tokens.columns, F.posexplode(characters).alias("start", "head"))
-    fits = F.filter("lengths", lambda n: F.col("start") + n <= F.length("token"))
-    prefixes = (
-        places.join(F.broadcast(heads), "head")
-        .select(*tokens.columns, "start", F.explode(fits).alias("n"))
-        .withColumn("word", F.substring("token", F.col("start") + 1, F.col("n")))
+    longest = words.agg(F.max(F.length("word"))).first()[0] or 0
+    pieces = distinct.select(
+        "token", F.length("token").alias("size"), F.explode(F.expr(f"sequence(0, greatest(0, length(token) - 1), {PIECE})")).alias("begin")
+    ).withColumn("piece", F.expr(f"substring(token, begin + 1, {PIECE + longest})"))
+    places = pieces.select("token", "size", "begin", "piece", F.explode(F.expr(f"sequence(0, least({PIECE}, length(piece)) - 1)")).alias("at"))
+    extended = places.select("*", F.explode(F.expr(f"transform(sequence(1, least({HEAD}, length(piece) - at)), k -> substring(piece, at + 1, k))")).alias("head"))
+    live = lookup_join(extended, heads, "head", "inner", small)
+    grown = live.select("*", F.explode(F.filter("lengths", lambda n: F.col("at") + n <= F.length("piece"))).alias("n")).select(
+        "token", (F.col("begin") + F.col("at")).alias("start"), "n", F.expr("substring(piece, at + 1, n)").alias("word")
     )
-    hits = lookup_join(prefixes, words, "word", "inner", small)
-    found = hits.groupBy(*tokens.columns, "start").agg(F.max(F.struct("n", "word", "nature")).alias("best"))
-    return found.select(*tokens.columns, "start", F.col("best.word").alias("word"), F.col("best.nature").alias("nature"))
+    return lookup_join(grown, words, "word", "inner", small)
+
+
+def per_token(tokens: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``tokens`` with the columns that ``search`` finds for its distinct tokens, one row for each; tokens without one are left out.
+
+    A text repeats its tokens: each is searched once, and the counts of the same pass tell which tokens are frequent, should the join need salts.
+    """
+    counted = stage(tokens.where("token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("seen")), "distinct_tokens")
+    found = stage_sized(search(counted.select("token")), "searched_tokens")
+    if found.small:
+        return tokens.join(F.broadcast(found.df), "token")
+    return salted_join(tokens, found.df, "token", "inner", counted_hot(counted, "token", "seen"))
+
+
+def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
+    """[*columns of tokens, start, word, nature]: longest lexicon word at each place of a token.
+
+    For scripts without blanks, where a token is a whole phrase. Distinct tokens are matched once. Matches may overlap; nothing is
+    disambiguated: see ``segment_tokens``.
+    """
+    words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != "").select("word", "nature"), "lexicon", small=False)
+
+    def longest(distinct: DataFrame) -> DataFrame:
+        best = matches_in(distinct, words, small).groupBy("token", "start").agg(F.max(F.struct("n", "word", "nature")).alias("best"))
+        # One row for each token: its hits are no more than its characters.
+        hit = F.struct("start", F.col("best.word").alias("word"), F.col("best.nature").alias("nature"))
+        return best.groupBy("token").agg(F.collect_list(hit).alias("__hits"))
+
+    return per_token(tokens, longest).select(*tokens.columns, F.inline("__hits"))
+
+
+def segment_tokens(
+    tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None, default: str = "x"
+) -> DataFrame:
+    """[*columns of tokens, part, start, word, nature]: each token cut into the words of its best path, ``part`` from 0.
+
+    Every lexicon word found in a token is an edge of -ln(frequency / all frequencies), in millionths, rounded; every single character is one too, with code ``default``
+    and the frequency 1/2 if it is no word. The path of least cost wins, then that of fewest words, then that whose words begin earliest, word by word.
+    User words count with ``USER_FREQUENCY``. Frequencies below 1 count as 1/2. Empty and null tokens have no part.
+
+    Tokens are cut where no word reaches across, and each stretch between is searched by itself: the best way to each of its places
+    is kept while the edges are taken in order of their start.
+    """
+    staged = stage_sized(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != ""), "lexicon")
+    total = staged.df.agg(F.sum(F.greatest("frequency", F.lit(1)))).first()[0] or 1
+    cost = lambda f: F.round(F.log(F.lit(float(total)) / f) * 1_000_000).cast("long")
+    unknown = cost(F.lit(0.5))
+    known = F.when(F.col("frequency") < 1, unknown).otherwise(cost(F.col("frequency").cast("double")))
+    words = staged.df.select("word", "nature", known.alias("cost"))
+
+    def best_path(distinct: DataFrame) -> DataFrame:
+        edges = matches_in(distinct, words, staged.small).select("token", "start", "n", "nature", "cost")
+        each = F.explode(F.expr("sequence(0, length(token) - 1)")).alias("start")
+        single = distinct.where("token != ''").select("token", each, F.lit(1).alias("n"), F.lit(default).alias("nature"), unknown.alias("cost"))
+        # A character that is a word has two edges of its own; the cheaper one counts, the word's if they are equal.
+        both = edges.withColumn("known", F.lit(0)).unionByName(single.withColumn("known", F.lit(1)))
+        ways = both.groupBy("token", "start", "n").agg(F.min(F.struct("cost", "known", "nature")).alias("way"))
+        ways = ways.select("token", "start", "n", F.col("way.cost").alias("cost"), F.col("way.nature").alias("nature"))
+        order = Window.partitionBy("token").orderBy("start")
+        reached = F.max(F.col("start") + F.col("n")).over(order.rangeBetween(Window.unboundedPreceding, -1))
+        cut = F.when(F.coalesce(reached, F.lit(0)) <= F.col("start"), F.col("start"))
+        stretch = ways.withColumn("base", F.max(cut).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+        edge = F.struct((F.col("start") - F.col("base")).alias("a"), "n", "cost", "nature")
+        gathered = stretch.groupBy("token", "base").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+        return (
+            gathered.select("token", "base", path_of(F.col("edges")).alias("path"))
+            .groupBy("token").agg(F.sort_array(F.collect_list(F.struct("base", "path"))).alias("__paths"))
+        )
+
+    found = per_token(tokens, best_path)
+    parts = F.flatten(F.transform("__paths", lambda p: F.transform(p["path"], lambda x: F.struct((p["base"] + x["a"]).alias("start"), x["n"].alias("n"), x["nature"].alias("nature")))))
+    each = found.select(*tokens.columns, F.posexplode(parts).alias("part", "__x"))
+    word = F.expr("substring(token, __x.start + 1, __x.n)")
+    return each.select(*tokens.columns, "part", F.col("__x.start").alias("start"), word.alias("word"), F.col("__x.nature").alias("nature"))
+
+
+def path_of(edges: Column) -> Column:
+    """The edges [a, n, cost, nature] of the best path from 0 to the last place; ``edges`` ascend by ``a``.
+
+    A place's best is a structure whose order is that of the rules: cost, words, then where they begin.
+    """
+    step = "array<struct<a:int,n:int,nature:string>>"
+    kind = f"struct<cost:bigint,words:int,starts:array<int>,path:{step}>"
+    begin = F.struct(F.lit(0).cast("long").alias("cost"), F.lit(0).alias("words"), F.array().cast("array<int>").alias("starts"), F.array().cast(step).alias("path")).cast(kind)
+    size = F.array_max(F.transform(edges, lambda e: e["a"] + e["n"]))
+    empty = F.concat(F.array(begin), F.array_repeat(F.lit(None).cast(kind), size))
+
+    def take(best: Column, e: Column) -> Column:
+        here = F.get(best, e["a"])
+        longer = F.struct(
+            (here["cost"] + e["cost"]).alias("cost"), (here["words"] + 1).alias("words"), F.concat(here["starts"], F.array(e["a"])).alias("starts"),
+            F.concat(here["path"], F.array(F.struct(e["a"].alias("a"), e["n"].alias("n"), e["nature"].alias("nature")))).alias("path"),
+        ).cast(kind)
+        return F.transform(best, lambda old, i: F.when(i == e["a"] + e["n"], F.least(old, longer)).otherwise(old))
+
+    return F.aggregate(edges, empty, take, lambda best: F.element_at(best, -1)["path"])
 
 
 def drop_stopwords(tokens: DataFrame, stop: DataFrame) -> DataFrame:

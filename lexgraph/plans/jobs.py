@@ -6,6 +6,9 @@ limits a reader to one snapshot; ``None`` reads all of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from lexgraph.operators.html import page_keywords, page_terms
 from lexgraph.operators.nature import default_natures, nature_label
 from lexgraph.operators.synonyms import synonyms
 from lexgraph.operators.terms import clean_tags_loose, clean_terms, clean_terms_loose
-from lexgraph.plans.stage import stage
+from lexgraph.plans.stage import stage, staging
 from lexgraph.sources.tables import snapshot_scan, write_lines, write_snapshot, write_table
 from lexgraph.sources.text import path_scan, scan_kv_text, tag_class_scan
 
@@ -106,8 +109,19 @@ def mine_synonyms(spark: SparkSession, src: str, table: str, dt: str, outdt: str
     write_snapshot(found.toDF("bk_word", "bk_input", "syno", "dir_words", "meta_keywords"), table, outdt)
 
 
+def scoped(job: Callable) -> Callable:
+    """The job, with its staged tables deleted when its result is written."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs) -> None:
+        with staging(spark):
+            job(spark, *args, **kwargs)
+
+    return run
+
+
 JOBS = {
-    job.__name__: job
+    job.__name__: scoped(job)
     for job in (
         ingest_pages, parse_terms, filter_terms, count_tag_pairs, layer_tags, layer_terms, classify_related,
         label_natures, parse_keywords, mine_synonyms,

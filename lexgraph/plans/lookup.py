@@ -3,7 +3,8 @@
 The lookup is broadcast only after its rows and bytes were counted. Beyond the limit the join
 is a shuffle join in which frequent keys of the large side are salted: a key with share ``s``
 of the rows, if that is more than a fair partition, is spread over about ``s`` times the shuffle
-partitions, and only the lookup rows of those keys are repeated. Salting changes where rows go, never which rows match.
+partitions, equal rows as shares of their number, and only the lookup rows of those keys are repeated. Salting changes where
+rows go, never which rows match.
 """
 
 from __future__ import annotations
@@ -38,23 +39,51 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     return stage(found, "hot_keys")
 
 
+def counted_hot(counted: DataFrame, key: str, n: str) -> DataFrame:
+    """``hot_keys`` of a side whose rows are counted already: ``counted`` [key, n] has one row per key."""
+    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = min(max(partitions, HOT_KEYS), MOST_HOT_KEYS)
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    salts = F.greatest(F.lit(2), F.ceil(F.col(n) / F.lit(max(1, total)) * partitions)).cast("int")
+    frequent = counted.where((F.col(n) * limit > total) & F.col(key).isNotNull())
+    return stage(frequent.select(key, salts.alias("salts")), "hot_keys")
+
+
+def spread_rows(facts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``facts`` with ``__salt`` and ``__copies``, the number of equal rows that a row stands for.
+
+    Rows of frequent keys are counted first, equal ones with map-side parts, and move once with their number, cut into as many
+    shares as the key has salts: one row that stands for most of a table is spread like different ones. Counts are the same when a
+    task is computed again, so every row stays where it was. ``facts`` is read for the frequent and for the other keys.
+    """
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [f"`{c}`" for c in facts.columns]
+    salts = F.when(F.col(f"`{key}`").isNull(), F.lit(partitions)).otherwise(F.col("__salts"))
+    marked = facts.join(hot.withColumnRenamed("salts", "__salts"), key, "left").withColumn("__salts", salts.cast("long"))
+    others = marked.where("__salts is null").select(*columns, F.lit(0).alias("__salt"), F.lit(1).cast("long").alias("__copies"))
+    counted = marked.where("__salts is not null").groupBy(*columns, "__salts").agg(F.count(F.lit(1)).alias("__n"))
+    counted = counted.withColumn("__most", F.least("__n", "__salts"))
+    shares = counted.select("*", F.explode(F.sequence(F.lit(0), F.col("__most").cast("int") - 1)).alias("__share"))
+    spread = F.pmod(F.xxhash64(*columns) + F.col("__share"), F.col("__salts")).cast("int")
+    # Of n copies in s shares the first n % s have one more.
+    copies = F.floor(F.col("__n") / F.col("__most")) + F.when(F.col("__share") < F.col("__n") % F.col("__most"), 1).otherwise(0)
+    return others.unionByName(shares.select(*columns, spread.alias("__salt"), copies.alias("__copies")))
+
+
 def salted_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None
 ) -> DataFrame:
-    """Shuffle join on ``key`` with the frequent keys of ``facts``, and its null keys, spread over salts.
+    """Shuffle join on ``key`` with the frequent keys of ``facts``, and its null keys, spread over salts; equal rows move once.
 
     ``hot`` gives the frequent keys where they are cheaper to find than from ``facts``; it must be a staged table.
     """
-    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot_keys(facts.select(key), key) if hot is None else hot)
-    # A hash of the row, not rand(): a recomputed task must put each row where it was before.
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    salts = F.coalesce(F.when(F.col(f"`{key}`").isNull(), F.lit(partitions)), F.col("salts"), F.lit(1))
-    salted = facts.join(hot, key, "left").withColumn("__salt", F.pmod(spread, salts).cast("int"))
     repeated = lookup.join(hot, key, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))
     )
-    return salted.drop("salts").join(repeated.drop("salts"), [key, "__salt"], how).drop("__salt")
+    joined = spread_rows(facts, key, hot).join(repeated.drop("salts"), [key, "__salt"], how).drop("__salt")
+    again = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
+    return joined.withColumn("__copy", again).drop("__copies", "__copy")
 
 
 def lookup_join(

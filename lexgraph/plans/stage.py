@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 # Of the written files, which are compressed.
 MAX_BROADCAST_BYTES = 8 * 1024 * 1024
+# Folders of the scopes that are open.
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -33,7 +38,7 @@ def stage_root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A new place in this application's own folder, which can be removed when the application is over."""
     app = spark.sparkContext.applicationId
-    return f"{stage_root(spark)}/lexgraph/{app}/{label}-{uuid.uuid4().hex}"
+    return "/".join([stage_root(spark), "lexgraph", app, *_scopes.get(), f"{label}-{uuid.uuid4().hex}"])
 
 
 def written_bytes(spark: SparkSession, path: str) -> int:
@@ -44,10 +49,30 @@ def written_bytes(spark: SparkSession, path: str) -> int:
 
 def release(spark: SparkSession) -> None:
     """Delete what this application has staged. Results that were returned lazily and not yet read are lost with it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/lexgraph/{spark.sparkContext.applicationId}")
+    delete(spark, f"{stage_root(spark)}/lexgraph/{spark.sparkContext.applicationId}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also after an error: write results elsewhere before that.
+
+    Scopes may be nested; each deletes its own tables and those of the scopes inside it. Other threads are not affected.
+    """
+    name = f"scope-{uuid.uuid4().hex}"
+    inside = _scopes.set((*_scopes.get(), name))
+    path = "/".join([stage_root(spark), "lexgraph", spark.sparkContext.applicationId, *_scopes.get()])
+    try:
+        yield
+    finally:
+        _scopes.reset(inside)
+        delete(spark, path)
+
+
 class Staged(NamedTuple):
     """A staged table and what was counted while it was written."""
 

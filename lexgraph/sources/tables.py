@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexgraph.plans.stage import stage
+
 FLAT_TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -53,25 +56,37 @@ def create_table(df: DataFrame, table: str, tail: str, more: str = "", location:
     )
 
 
+def overwrite(df: DataFrame, insert: str) -> None:
+    """Run ``insert`` with the rows of ``df``, which may be read from the table itself.
+
+    A plan that reads what it overwrites is refused by Spark before anything is written. Its result is then written beside the table first
+    and goes in from there, so the table keeps its old rows until all new ones exist.
+    """
+    try:
+        df.sparkSession.sql(f"{insert} SELECT * FROM {{df}}", df=df)
+    except AnalysisException as refused:
+        if not (refused.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
+            raise
+        df.sparkSession.sql(f"{insert} SELECT * FROM {{df}}", df=stage(df, "beside"))
+
+
 def write_snapshot(
     df: DataFrame, table: str, dt: str | int, part_type: str = "bigint", location: str | None = None
 ) -> None:
     """Overwrite the partition ``stat_date = dt``, creating the table if needed.
 
-    Other dates stay; an empty ``df`` empties the partition. Columns go in by position.
+    Other dates stay; an empty ``df`` empties the partition. Columns go in by position. ``df`` may read the table itself.
     """
     if part_type not in {t.simpleString() for t in FLAT_TYPES.values()}:
         raise TypeError(f"not a flat type: {part_type}")
     create_table(df, table, "PARTITIONED BY (stat_date)", f", stat_date {part_type}", location)
-    df.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal(dt)}) SELECT * FROM {{df}}", df=df
-    )
+    overwrite(df, f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION (stat_date = {literal(dt)})")
 
 
 def write_table(df: DataFrame, table: str, location: str | None = None) -> None:
-    """Overwrite the whole table, creating it if needed."""
+    """Overwrite the whole table, creating it if needed; ``df`` may read that table."""
     create_table(df, table, "", location=location)
-    df.sparkSession.sql(f"INSERT OVERWRITE TABLE {quoted(table)} SELECT * FROM {{df}}", df=df)
+    overwrite(df, f"INSERT OVERWRITE TABLE {quoted(table)}")
 
 
 def snapshot_scan(

@@ -400,6 +400,38 @@ hits AS (
         """SELECT word, nature, count(*) AS n, CAST(sum(start) AS BIGINT) AS starts, CAST(sum(pos) AS BIGINT) AS places
 FROM hits WHERE rn = 1 GROUP BY word, nature""",
     ),
+    # The best way to each place of a distinct token, place by place, then the parts of the last one.
+    "segment_tokens": "WITH RECURSIVE " + TOKENS + ",\n" + USER_WORDS + r""",
+counted AS (
+  SELECT word, 'n' || length(word) AS nature, count(*) AS frequency
+  FROM (SELECT unnest(regexp_split_to_array(text, '[^\p{L}\p{N}]+')) AS word FROM benchmark) WHERE word <> '' GROUP BY word),
+words AS (
+  SELECT coalesce(u.word, c.word) AS word, coalesce(u.nature, c.nature) AS nature,
+         CASE WHEN u.word IS NOT NULL THEN 1024 ELSE c.frequency END AS frequency
+  FROM (SELECT * FROM user_words WHERE length(word) <= 3) u FULL JOIN counted c ON u.word = c.word),
+every AS (SELECT CAST(sum(frequency) AS DOUBLE) AS f FROM words),
+lexicon AS (SELECT word, nature, CAST(round(ln(f / frequency) * 1000000) AS BIGINT) AS cost FROM words, every),
+distinct_tokens AS (SELECT DISTINCT token FROM tokens),
+places AS (SELECT token, CAST(unnest(range(0, length(token))) AS INTEGER) AS a FROM distinct_tokens),
+prefixes AS (SELECT token, a, unnest(range(1, length(token) - a + 1)) AS n FROM places),
+edges AS (
+  SELECT token, a, CAST(p.n AS INTEGER) AS n, cost, nature FROM prefixes p JOIN lexicon ON word = substring(token, a + 1, p.n)
+  UNION ALL
+  SELECT token, a, 1, (SELECT CAST(round(ln(f / 0.5) * 1000000) AS BIGINT) FROM every), 'x'
+  FROM places WHERE substring(token, a + 1, 1) NOT IN (SELECT word FROM words)),
+best(token, i, ways) AS (
+  SELECT token, 0, [{'cost': 0::BIGINT, 'words': 0, 'starts': []::INTEGER[], 'natures': []::VARCHAR[]}] FROM distinct_tokens
+  UNION ALL
+  SELECT b.token, b.i + 1, list_append(any_value(b.ways), min({'cost': b.ways[e.a + 1].cost + e.cost, 'words': b.ways[e.a + 1].words + 1,
+           'starts': list_append(b.ways[e.a + 1].starts, e.a), 'natures': list_append(b.ways[e.a + 1].natures, e.nature)}))
+  FROM best b JOIN edges e ON e.token = b.token AND e.a + e.n = b.i + 1 GROUP BY b.token, b.i),
+paths AS (SELECT token, ways[len(ways)] AS way FROM best WHERE i = length(token)),
+parts AS (
+  SELECT token, CAST(generate_subscripts(way.starts, 1) - 1 AS INTEGER) AS part, unnest(way.starts) AS start,
+         unnest(list_append(way.starts[2:], CAST(length(token) AS INTEGER))) AS stop, unnest(way.natures) AS nature FROM paths)
+SELECT substring(token, start + 1, stop - start) AS word, nature, count(*) AS n, CAST(sum(part) AS BIGINT) AS parts,
+       CAST(sum(start) AS BIGINT) AS starts, CAST(sum(pos) AS BIGINT) AS places
+FROM tokens JOIN parts USING (token) GROUP BY ALL""",
     "drop_stopwords": put(
         TOKENS + ",\n" + BENCHMARK,
         "SELECT doc_id, pos, token FROM tokens WHERE token NOT IN (SELECT word FROM lexicon)",
@@ -421,5 +453,15 @@ UNION ALL SELECT doc_id, n_chars, 'all' FROM documents""",
         DOC_TERMS + ",\n" + clean("doc_terms", "terms", 2),
         "SELECT word AS bk_word, relwords AS bk_relwords, raw_tags AS bk_tags FROM terms",
     ),
+    "failed_pages": """
+SELECT page_id, url AS value, 2 AS sections, '' AS reason FROM pages
+UNION ALL SELECT -page_id - 1, '', 0, '' FROM pages
+UNION ALL SELECT -page_id - 1, 'input', -1, 'missing' FROM pages""",
+    "clean_in_place": put(
+        DOC_TERMS + ",\n" + clean("doc_terms", "terms", 2),
+        """SELECT word AS bk_word, relwords AS bk_relwords, raw_tags AS bk_tags FROM terms
+UNION ALL SELECT '20170612', CAST(count(*) AS VARCHAR), CAST(sum(doc_id) AS VARCHAR) FROM documents WHERE lang <> 'en'
+UNION ALL SELECT '20170613', CAST(count(*) AS VARCHAR), CAST(sum(doc_id) AS VARCHAR) FROM documents WHERE lang = 'en'""",
+    ),
     "first_lines": "SELECT least(10, count(*)) AS n FROM documents",
 }

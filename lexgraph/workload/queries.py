@@ -14,11 +14,11 @@ from lexgraph.functions.strings import base_term, jsplit, jtrim
 from lexgraph.operators.classify import classify_terms, related_by_class
 from lexgraph.operators.cooccur import tag_cooccur, tag_count
 from lexgraph.operators.hierarchy import csv_tags, tag_edges, tag_layers, tag_paths, tag_paths_for_terms
-from lexgraph.operators.html import extract_html, page_keywords, page_terms
+from lexgraph.operators.html import extract_html, extract_with_failures, page_keywords, page_terms
 from lexgraph.operators.nature import default_natures, nature_label, nature_scan
 from lexgraph.operators.synonyms import synonyms
 from lexgraph.operators.terms import clean_tags_loose, clean_terms, clean_terms_loose
-from lexgraph.operators.tokens import drop_stopwords, lexicon_matches, tokenize, tokens_with_nature
+from lexgraph.operators.tokens import drop_stopwords, lexicon_matches, segment_tokens, tokenize, tokens_with_nature
 from lexgraph.plans.stage import new_path, stage
 from lexgraph.sources.tables import snapshot_scan, write_lines, write_snapshot, write_table
 from lexgraph.sources.text import (
@@ -231,6 +231,15 @@ def q_page_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_keywords(marked_pages(spark, sf_dir), "url", "html")
 
 
+def q_failed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with and without an input box: what was found of each, and the fields that could not be read."""
+    pages = marked_pages(spark, sf_dir).select("page_id", "html")
+    plain = load(spark, sf_dir, "pages").select((-F.col("page_id") - 1).alias("page_id"), "html")
+    found, failed = extract_with_failures(pages.unionByName(plain), "html", ("input", "toc"))
+    sections = found.select("page_id", F.col("input").alias("value"), F.size("toc").alias("sections"), F.lit("").alias("reason"))
+    return sections.unionByName(failed.select("page_id", F.col("field").alias("value"), F.lit(-1).alias("sections"), "reason"))
+
+
 def q_page_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synonyms(page_keywords(marked_pages(spark, sf_dir), "url", "html"))
 
@@ -275,6 +284,17 @@ def q_lexicon_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_segment_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the best paths, by how often the benchmark has them; a few turns' words are user words."""
+    words = tokenize(load(spark, sf_dir, "benchmark"), keep=("item_id",)).groupBy(F.col("token").alias("word"))
+    lexicon = words.agg(F.count(F.lit(1)).alias("frequency")).withColumn("nature", F.concat(F.lit("n"), F.length("word")))
+    user = user_words(spark, sf_dir).where(F.length("word") <= 3)
+    parts = segment_tokens(document_tokens(spark, sf_dir), lexicon, user)
+    return parts.groupBy("word", "nature").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("part").alias("parts"), F.sum("start").alias("starts"), F.sum("pos").alias("places")
+    )
+
+
 def q_drop_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_stopwords(document_tokens(spark, sf_dir), benchmark_words(spark, sf_dir))
 
@@ -335,6 +355,22 @@ def q_write_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def q_clean_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table cleaned into itself, and a date of a table written from its other date."""
+    path, dated = new_path(spark, "table"), new_path(spark, "snapshot")
+    with own_table(spark) as table, own_table(spark) as snapshot:
+        write_table(document_terms(spark, sf_dir), table, location=path)
+        write_table(clean_terms(spark.table(table), as_csv=True), table, location=path)
+        write_snapshot(load(spark, sf_dir, "documents").select("doc_id", "lang"), snapshot, 20170612, location=dated)
+        write_snapshot(snapshot_scan(spark, snapshot, 20170612).where("lang = 'en'"), snapshot, 20170613, location=dated)
+        write_snapshot(snapshot_scan(spark, snapshot, 20170612).where("lang <> 'en'"), snapshot, 20170612, location=dated)
+        kept = stage(snapshot_scan(spark, snapshot, None, ("stat_date", "doc_id")), "kept")
+    cleaned = spark.read.parquet(path)
+    dates = kept.groupBy("stat_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("doc_id").alias("ids"))
+    shown = dates.select(F.col("stat_date").cast("string"), F.col("rows").cast("string"), F.col("ids").cast("string"))
+    return cleaned.unionByName(shown.toDF(*cleaned.columns))
+
+
 @contextmanager
 def own_table(spark: SparkSession) -> Iterator[str]:
     """Name of a table that is dropped afterwards; its files have a place of their own and stay."""
