@@ -129,9 +129,10 @@ def manifest(rows: DataFrame, key: str) -> DataFrame:
     name = F.coalesce(F.concat(F.lit("="), F.col("part").cast("string")), F.lit(""))
     leaves, subroots = trees(rows.select(name.alias("part"), F.col(f"`{key}`").alias("key"), F.col("leaf").alias("node"), kept.alias("kept")), ["key", "node"])
     upper, roots = trees(subroots.select(F.lit("").alias("part"), F.col("part").alias("name"), "node"), ["name"])
-    root = roots.select(F.lit(0).alias("one"), F.col("node").alias("root"))  # one row, or none
-    parts = upper.select(F.col("name").alias("part"), F.col("node").alias("subroot"), F.col("path").alias("upper"), F.lit(0).alias("one"))
-    known = stage_sized(parts.join(F.broadcast(root), "one").drop("one"), "subroots")
+    top = roots.first()  # the one digest that the manifest ends in
+    root = F.lit(top["node"] if top else None).cast("string")
+    parts = upper.select(F.col("name").alias("part"), F.col("node").alias("subroot"), F.col("path").alias("upper"), root.alias("root"))
+    known = stage_sized(parts, "subroots")
     joined = lookup_join(leaves, known.df, "part", small=known.small)
     return joined.select("kept.*", F.col("node").alias("leaf"), "subroot", "root", F.concat("path", "upper").alias("path"))
 
