@@ -23,7 +23,9 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under the Creative Commons Attribution 4.0 International License, CC BY 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under the Creative Commons Attribution ShareAlike 4.0 License, CC BY-SA 4.0",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "LGPL-2.1": "This library is licensed under the GNU Lesser General Public License, version 2.1",
     "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3",
     "MIT": "Released under the MIT License",
     "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0",
@@ -46,10 +48,10 @@ BSD_GRANT = (
 )
 GNU_HEADER = (
     "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free "
-    "Software Foundation, either version 3 of the License, or (at your option) any later version."
+    "Software Foundation, either version {2} of the License, or (at your option) any later version."
 )
 GNU_TITLE = (
-    "GNU {}General Public License Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute "
+    "GNU {0}General Public License Version {1} Copyright (C) {2} Free Software Foundation, Inc. Everyone is permitted to copy and distribute "
     "verbatim copies of this license document, but changing it is not allowed."
 )
 # The other kinds of wording: titles, headers of files, and full texts or the paragraph that opens them.
@@ -63,12 +65,18 @@ MORE = [
     ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
     ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
     ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("GPL-2.0", "GNU General Public License Version 2"),
+    ("GPL-2.0", GNU_TITLE.format("", "2, June 1991", "1989, 1991")),
+    ("GPL-2.0", GNU_HEADER.format("program", "", "2")),
     ("GPL-3.0", "GNU General Public License Version 3"),
-    ("GPL-3.0", GNU_TITLE.format("")),
-    ("GPL-3.0", GNU_HEADER.format("program", "")),
+    ("GPL-3.0", GNU_TITLE.format("", "3, 29 June 2007", "2007")),
+    ("GPL-3.0", GNU_HEADER.format("program", "", "3")),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1"),
+    ("LGPL-2.1", GNU_TITLE.format("Lesser ", "2.1, February 1999", "1991, 1999")),
+    ("LGPL-2.1", GNU_HEADER.format("library", "Lesser ", "2.1")),
     ("LGPL-3.0", "GNU Lesser General Public License Version 3"),
-    ("LGPL-3.0", GNU_TITLE.format("Lesser ")),
-    ("LGPL-3.0", GNU_HEADER.format("library", "Lesser ")),
+    ("LGPL-3.0", GNU_TITLE.format("Lesser ", "3, 29 June 2007", "2007")),
+    ("LGPL-3.0", GNU_HEADER.format("library", "Lesser ", "3")),
     ("MIT", "MIT License"),
     ("MIT", MIT_GRANT),
     ("MIT", f"MIT License Copyright (c) {MIT_GRANT} {MIT_REST}"),
@@ -79,12 +87,10 @@ MORE = [
 
 
 class LicenseParams(NamedTuple):
-    """``marker``: a line or block with a match is a notice. ``comment``: what begins a comment line. Lines of more than
-    ``wrapped`` characters are paragraphs of their own and belong to no block. ``spdx``: a tag, with what it names. ``file``: names of licence files. ``cosine``: the least that counts."""
+    """``marker``: a line or block with a match is a notice. ``comment``: what begins a comment line. ``spdx``: a tag, with what it names. ``file``: names of licence files. ``cosine``: the least that counts."""
 
     marker: str = r"(?i)licen[sc]|copyright|spdx|permission is hereby granted|redistribution and use|creative commons"
     comment: str = r"(?m)^[ \t]*(?://+!?|#+|/\*+|\*+/|\*+|--+|;+|%+|<!--|\.\.)[ \t]*"
-    wrapped: int = 120
     spdx: str = r"(?i)spdx-license-identifier\s*:\s*([^\r\n]*)"
     file: str = r"(?i)^(licen[sc]e|copying|notice)([.-].*)?$"
     cosine: float = 0.5
@@ -103,24 +109,24 @@ def template_terms(spark: SparkSession, templates: dict[str, str], more: list[tu
 
 
 def score_tags(notices: DataFrame, p: LicenseParams, templates: dict[str, str]) -> DataFrame:
-    """[notice, license, score] of SPDX tags [notice]: 1 for the smallest known name in the expression."""
+    """[id, license, score] of SPDX tags [id, notice]: 1 for the smallest known name in the expression."""
     names = [(v.lower(), k) for k in sorted(templates) for v in (k, f"{k}+", f"{k}-only", f"{k}-or-later")]
     known = F.create_map(*(F.lit(x) for pair in names for x in pair))
     said = F.split(F.lower(F.regexp_extract("notice", p.spdx, 1)), r"[^a-z0-9.+-]+")
     found = F.array_min(F.filter(F.transform(said, lambda x: F.try_element_at(known, x)), lambda x: x.isNotNull()))
-    return notices.select("notice", found.alias("license"), F.lit(1.0).alias("score")).where(F.col("license").isNotNull())
+    return notices.select("id", found.alias("license"), F.lit(1.0).alias("score")).where(F.col("license").isNotNull())
 
 
 def score_notices(
     notices: DataFrame, p: LicenseParams, templates: dict[str, str] = TEMPLATES, more: list[tuple[str, str]] = MORE
 ) -> DataFrame:
-    """[notice, license, score] of the distinct notices [notice, n] that are near a template; ties to the smaller name.
+    """[id, license, score] of the distinct notices [id, notice, n] that are near a template; ties to the smaller name.
 
-    Document frequencies are counted over all notices; a term of no template weighs as one that occurs once.
+    Terms go by the notice's id, so a long notice moves once as its terms and not with each of them. Document frequencies are counted over all notices; a term of no template weighs as one that occurs once.
     """
     is_tag = F.col("notice").rlike(p.spdx) & ~F.col("notice").contains("\n")
     tags, notices = score_tags(notices.where(is_tag), p, templates), notices.where(~is_tag)
-    terms = notices.select("notice", "n", F.explode(terms_of(F.col("notice"))).alias("term")).groupBy("notice", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = notices.select("id", "n", F.explode(terms_of(F.col("notice"))).alias("term")).groupBy("id", "n", "term").agg(F.count(F.lit(1)).alias("tf"))
     known = template_terms(notices.sparkSession, templates, more)
     vocabulary = known.select("term").distinct()
     counted = terms.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.sum("n").alias("df"))
@@ -129,26 +135,26 @@ def score_notices(
     # Each of the small tables below is read several times: staged, none is planned and computed again.
     idf = stage(vocabulary.join(counted, "term", "left").select("term", weight(F.coalesce("df", F.lit(0))).alias("idf")), "idf")
     weighted = terms.join(F.broadcast(idf), "term", "left").select(
-        "notice", "term", (F.col("tf") * F.coalesce(F.col("idf"), weight(F.lit(1)))).alias("w")
+        "id", "term", (F.col("tf") * F.coalesce(F.col("idf"), weight(F.lit(1)))).alias("w")
     )
     template = known.join(idf, "term").select("template", "license", "term", (F.col("tf") * F.col("idf")).alias("v"))
     lengths = template.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
     unit = template.join(lengths, "template").select("template", "license", "term", (F.col("v") / F.col("length")).alias("v"))
-    norm = weighted.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = weighted.join(F.broadcast(unit), "term").groupBy("notice", "template", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    norm = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dot = weighted.join(F.broadcast(unit), "term").groupBy("id", "template", "license").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     scored = stage(
-        dot.join(norm, "notice").select("notice", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")), "scored"
+        dot.join(norm, "id").select("id", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")), "scored"
     )
-    best = scored.groupBy("notice").agg(F.max("score").alias("score"))
+    best = scored.groupBy("id").agg(F.max("score").alias("score"))
     return (
-        scored.join(best, ["notice", "score"]).where(F.col("score") >= p.cosine).groupBy("notice", "score")
-        .agg(F.min("license").alias("license")).select("notice", "license", "score").unionByName(tags)
+        scored.join(best, ["id", "score"]).where(F.col("score") >= p.cosine).groupBy("id", "score")
+        .agg(F.min("license").alias("license")).select("id", "license", "score").unionByName(tags)
     )
 
 
 def header_blocks(text: Column, p: LicenseParams) -> Column:
-    """Wrapped and comment lines that stand together, as one notice each without their comment signs, if it has a marker."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"(?m)^[^\n]{%d,}$" % (p.wrapped + 1), ""), p.comment, "")
+    """Lines that stand together, up to a blank one, as one notice each without their comment signs, if it has a marker."""
+    bare = F.regexp_replace(text, p.comment, "")
     tagless = F.regexp_replace(bare, p.spdx, "")  # a tag is a notice by itself
     blocks = F.transform(F.split(tagless, r"\n[ \t\r]*(?:\n[ \t\r]*)*\n|\A\s+"), lambda b: F.trim(F.regexp_replace(b, r"\s+", " ")))
     return F.filter(blocks, lambda b: b.rlike(p.marker))
@@ -173,10 +179,12 @@ def scan_licenses(files: DataFrame, p: LicenseParams = LicenseParams(), template
     found = F.when(is_license_file, F.array_append(lines, F.col("text"))).otherwise(lines)
     slim = files.select("file_id", "path", F.when(F.col("text").isNotNull(), found).otherwise(F.array().cast("array<string>")).alias("notices"), is_license_file.alias("is_file"))
     staged = stage(slim.withColumn("row", F.xxhash64("file_id", "path", "notices")), "notices")
-    each = staged.select("row", F.explode("notices").alias("notice"))
-    distinct = stage(each.groupBy("notice").agg(F.count(F.lit(1)).alias("n")), "distinct_notices")
+    # A notice goes by 128 bits of its text, which stands in one table only.
+    every = staged.select("row", F.explode("notices").alias("notice")).withColumn("id", F.md5(F.col("notice").cast("binary")))
+    each = every.select("row", "id")
+    distinct = stage(every.groupBy("id", "notice").agg(F.count(F.lit(1)).alias("n")), "distinct_notices")
     scored = stage(score_notices(distinct, p, templates), "best_licenses")
-    hits = stage(lookup_join(each, scored, "notice", "inner"), "hits")
+    hits = stage(lookup_join(each, scored, "id", "inner"), "hits")
     # The largest score, then the smallest name: names are compared only among equal scores.
     top = hits.groupBy("row").agg(F.max("score").alias("score"))
     own = hits.join(top, ["row", "score"]).groupBy("row", "score").agg(F.min("license").alias("license"))

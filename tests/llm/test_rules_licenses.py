@@ -103,9 +103,45 @@ def test_full_texts_headers_and_tags(spark):
     got = scan(spark, [
         (1, "a/LICENSE", mit), (2, "b/LICENSE", "BSD 3-Clause License\n\n" + bsd), (3, "c/x.py", wrap(licenses.BSD_GRANT, "# ") + "\n\nimport x"),
         (4, "d/x.c", "// SPDX-License-Identifier: MIT\nint x;"), (5, "e/x.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */\nint x;"),
-        (6, "f/x.py", wrap(gnu.format("program", ""), "# ") + "\n#\n# You have a copy.\n"), (7, "g/x.js", "/*\n" + wrap(mpl, " * ") + "\n */\ncode()"),
+        (6, "f/x.py", wrap(gnu.format("program", "", "3"), "# ") + "\n#\n# You have a copy.\n"), (7, "g/x.js", "/*\n" + wrap(mpl, " * ") + "\n */\ncode()"),
         (8, "h/COPYING", "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nmore"), (9, "a/y.txt", "no word of it"),
         (10, "i/x.c", "// SPDX-License-Identifier: Zlib\n"), (11, "j/x.c", "int x; // " + mit.replace("\n", "\r\n")),
     ])
     want = ["MIT", "BSD-3-Clause", "BSD-3-Clause", "MIT", "GPL-3.0", "GPL-3.0", "MPL-2.0", "LGPL-3.0", "MIT", None, "MIT"]
     assert [got[i][0] for i in range(1, 12)] == want and got[9][1] == "directory"
+
+
+def test_versions_of_the_gnu_licenses(spark):
+    title, header = licenses.GNU_TITLE, licenses.GNU_HEADER
+    got = scan(spark, [
+        (1, "a/LICENSE", title.format("", "2, June 1991", "1989, 1991")), (2, "b/LICENSE", title.format("", "3, 29 June 2007", "2007")),
+        (3, "c/LICENSE", title.format("Lesser ", "2.1, February 1999", "1991, 1999")), (4, "d/x.c", "/* " + header.format("program", "", "2") + " */"),
+        (5, "e/x.c", "# " + header.format("library", "Lesser ", "2.1")), (6, "f/x.c", "// SPDX-License-Identifier: LGPL-2.1-only"),
+        (7, "g/x.c", licenses.TEMPLATES["GPL-2.0"]), (8, "h/x.c", licenses.TEMPLATES["LGPL-2.1"]),
+    ])
+    assert [got[i][0] for i in range(1, 9)] == ["GPL-2.0", "GPL-3.0", "LGPL-2.1", "GPL-2.0", "LGPL-2.1", "LGPL-2.1", "GPL-2.0", "LGPL-2.1"]
+
+
+def test_very_long_license_file_and_odd_ids(spark):
+    """A licence file of 100,000 different words costs its terms once; null and repeated ids are rows of their own."""
+    long_text = licenses.TEMPLATES["MIT"] + "\n\n" + " ".join(f"w{i}" for i in range(100_000))
+    rows = [(1, "a/LICENSE", long_text), (1, "a/LICENSE", long_text), (None, "a/x.txt", "nothing"), (None, "b/x.txt", None), (2, "a/LICENSE", "")]
+    got = licenses.scan_licenses(files(spark, [(*r, "x", "x", "x", "x") for r in rows])).collect()
+    assert len(got) == 5
+    found = sorted((str(r["file_id"]), r["path"], r["license"], r["origin"]) for r in got)
+    assert found == [
+        ("1", "a/LICENSE", "MIT", "file"), ("1", "a/LICENSE", "MIT", "file"), ("2", "a/LICENSE", "MIT", "directory"), ("None", "a/x.txt", "MIT", "directory"),
+        ("None", "b/x.txt", None, "none"),
+    ]
+
+
+def test_long_lines_belong_to_their_block(spark):
+    """Comment signs and blank lines bound a block, not the length of its lines."""
+    grant = "# " + licenses.BSD_GRANT[:60] + "\n# " + licenses.BSD_GRANT[60:] + " " + "x" * 130 + "\n\ncode()"
+    assert scan(spark, [(1, "a/x.py", grant)])[1][0] == "BSD-3-Clause"
+
+
+def test_equal_scores_go_to_the_smaller_name(spark):
+    same = {"Zeta": "one common wording of a license", "Alpha": "one common wording of a license"}
+    df = files(spark, [(1, "a/x.txt", "one common wording of a license", "x", "x", "x", "x")])
+    assert licenses.scan_licenses(df, templates=same).first()["license"] == "Alpha"
