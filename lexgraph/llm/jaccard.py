@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexgraph.llm.common import MIX, WordHash, by_value, column, mixed, runs, text_rows, texts
+from lexgraph.llm.common import MIX, WordHash, by_value, column, grams, mixed, runs, text_rows, texts
 from lexgraph.llm.neardup import NearDup, link_classes, node_of, shingle_set
 from lexgraph.plans.lookup import lookup_join
 from lexgraph.plans.stage import stage
@@ -70,13 +70,17 @@ class Band(NamedTuple):
     deletion: int
     exact: int
 
+    @property
+    def seed(self) -> int:
+        return (self.number + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1
+
 
 # What a key costs besides its row: by the n-grams that stand behind it, none of them, one, two, ...
 WEAK = (20_000.0, 5.0, 1.25, 0.3, 0.08)
 
 
-def key_cost(grams: int) -> float:
-    return 1 + (WEAK[grams] if grams < len(WEAK) else 0)
+def key_cost(held: int) -> float:
+    return 1 + (WEAK[held] if held < len(WEAK) else 0)
 
 
 @lru_cache(maxsize=4096)
@@ -154,8 +158,7 @@ def band_keys(found: np.ndarray, rare: np.ndarray, b: Band, differ: int) -> np.n
 
     Key: 64-bit hash of band, cell and content; the last bit tells that no rare n-gram stands behind it.
     """
-    cells = b.deletion + b.exact
-    seed = mixed(np.array([b.number + 1], np.uint64) * MIX)[0]
+    cells, seed = b.deletion + b.exact, np.uint64(b.seed)
     spread = mixed(found ^ seed)
     cell = (((spread >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.uint16 if cells < 65_536 else np.int64)
     order = np.argsort(cell, kind="stable")
@@ -173,18 +176,20 @@ def band_keys(found: np.ndarray, rare: np.ndarray, b: Band, differ: int) -> np.n
         mine = here[of] < b.deletion
         out.append(whole[here < b.deletion])
         out.append(key((sums[of] - spread)[mine], cell[mine], (rares[of] - rare)[mine]))
+        picked = here >= b.deletion
+        here, whole, rares, counts = here[picked], whole[picked], rares[picked], counts[picked]
     need = differ + 1 - 2 * b.deletion
-    picked = here >= b.deletion
     if need > 0:
-        keys, cost = whole[picked], (rares[picked] << 32) + counts[picked]
-        out.append(keys[np.lexsort((keys, -cost))[:need]])
+        out.append(whole[np.lexsort((whole, -(rares << 32) - counts))[:need]] if len(whole) > need else whole)
     # Cells without an n-gram: the last choice of the exact ones.
-    void = np.setdiff1d(np.arange(cells), here)
-    nothing = key(np.zeros(len(void), np.uint64), void, np.zeros(len(void), np.int64))
-    out.append(nothing[void < b.deletion])
-    if (more := need - int(picked.sum())) > 0:
-        out.append(np.sort(nothing[void >= b.deletion])[:more])
-    return np.unique(np.concatenate(out))
+    more = need - len(whole)
+    if b.deletion or more > 0:
+        void = np.setdiff1d(np.arange(cells), cell)
+        nothing = key(np.zeros(len(void), np.uint64), void, np.zeros(len(void), np.int64))
+        out.append(nothing[void < b.deletion])
+        out.append(np.sort(nothing[void >= b.deletion])[: max(0, more)])
+    keys = np.concatenate(out)
+    return np.unique(keys) if b.deletion else keys  # neighbours of a cell may be equal
 
 
 def set_keys(found: np.ndarray, rare: np.ndarray, bands: list[Band], p: Join) -> np.ndarray:
@@ -193,6 +198,13 @@ def set_keys(found: np.ndarray, rare: np.ndarray, bands: list[Band], p: Join) ->
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
+def all_shingles(text: bytes, size: int, hashes: WordHash) -> np.ndarray:
+    """The hashes that ``shingle_set`` has, each as often as it stands there."""
+    words = text.lower().split()
+    size = min(size, len(words))
+    return grams(hashes.all(words), size) + np.uint64(size) if words else np.zeros(0, np.uint64)
+
+
 def frequent_buckets(docs: DataFrame, p: Join) -> np.ndarray:
     """Of the ``buckets`` buckets of n-grams those that are frequent, as booleans.
 
@@ -205,7 +217,7 @@ def frequent_buckets(docs: DataFrame, p: Join) -> np.ndarray:
         hashes, seen = WordHash(), np.zeros(p.buckets, np.int32)
         for batch in batches:
             for run in runs(batch):
-                found = [shingle_set(text, p.shingle, hashes) for text in texts(run)]
+                found = [all_shingles(text, p.shingle, hashes) for text in texts(run)]
                 seen += np.bincount((np.concatenate(found) >> shift).astype(np.int64), minlength=p.buckets).astype(np.int32)
         total = int(seen.sum(dtype=np.int64))
         often = np.flatnonzero(seen > 2 + 2 * total / p.buckets)
@@ -256,7 +268,7 @@ def index_documents(docs: DataFrame, p: Join) -> DataFrame:
 
 
 def hubs_of_keys(indexed: DataFrame) -> DataFrame:
-    """[node, hub]: each class with the smallest class of each of its keys.
+    """[node, hub, shared]: each class with the smallest class of each of its keys, and how many of them it is.
 
     A key behind which a rare n-gram stands has few rows: one window over its rows. The others may have any number: the smallest is found
     with map-side parts and joined back, spread over salts.
@@ -267,7 +279,7 @@ def hubs_of_keys(indexed: DataFrame) -> DataFrame:
     hot = entries.where("(key & 1) = 1")
     shared = hot.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
     many = lookup_join(hot, shared, "key", "inner").select("node", "hub")
-    return few.unionByName(many).where("node != hub").distinct()
+    return few.unionByName(many).where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def jaccard_join(docs: DataFrame, p: Join = Join()) -> DataFrame:

@@ -128,7 +128,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, p: NearDup) -> DataFrame:
 
 
 def hub_pairs(signed: DataFrame) -> DataFrame:
-    """[node, hub]: each class with the hubs of its keys, the hub itself left out; keys of one class have no hub."""
+    """[node, hub, shared]: each class with the hubs of its keys and how many, the hub itself left out; keys of one class have no hub."""
     entries = stage(signed.where("node is not null").groupBy("node").agg(F.any_value("keys").alias("keys")), "classes").select(
         "node", F.explode("keys").alias("key")
     )
@@ -137,7 +137,7 @@ def hub_pairs(signed: DataFrame) -> DataFrame:
     degree = members.groupBy("node").agg(F.sum("members").alias("degree"))
     ranked = members.join(degree, "node").select("key", "node", F.struct("degree", "node").alias("rank"))
     hubs = ranked.groupBy("key").agg(F.max("rank")["node"].alias("hub"))
-    return members.join(hubs, "key").where("node != hub").select("node", "hub").distinct()
+    return members.join(hubs, "key").where("node != hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def linked(common, n1, n2, p: NearDup):
@@ -252,15 +252,26 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
 def link_classes(docs: DataFrame, signed: DataFrame, pairs: DataFrame, p: NearDup) -> DataFrame:
     """[doc_id, n_shingles, component_id] of every row of the staged ``signed`` [doc_id, n_shingles, node].
 
-    ``pairs`` [node, hub], staged: every two classes that may be linked are a pair, or have a hub in common. Links are
+    ``pairs`` [node, hub, shared], staged: every two classes that may be linked are a pair, or have a hub in common. Links are
     confirmed on full sets.
     """
     classes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     involved = pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct()
     sets = class_sets(docs, classes.join(involved, "node"), p)
-    measured = stage(hub_distances(pairs, sets).distinct(), "measured")
-    near = measured.where(linked(F.col("common"), F.col("n"), F.col("hub_n"), p)).select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    first = stage(components(near), "roots")
+    # Every class against the hub with which it shares most keys. That ties most groups together, and sets move once.
+    best = pairs.groupBy("node").agg(F.max(F.struct("shared", "hub"))["hub"].alias("hub"))
+    near = lambda df: df.where(linked(F.col("common"), F.col("n"), F.col("hub_n"), p)).select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    some = stage(hub_distances(best, sets), "measured")
+    tied = stage(components(near(some)), "tied")
+    # A hub all of whose classes are connected with it has nothing more to tell; of the others all classes count.
+    root_of = lambda name: tied.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    placed = pairs.join(root_of("node"), "node", "left").join(root_of("hub"), "hub", "left")
+    differs = F.coalesce("node_root", "node") != F.coalesce("hub_root", "hub")
+    open_hubs = placed.groupBy("hub").agg(F.max(differs).alias("open")).where("open").select("hub")
+    others = pairs.select("node", "hub").join(open_hubs, "hub").join(some.select("node", "hub"), ["node", "hub"], "left_anti")
+    more = stage(hub_distances(others, sets), "measured")
+    measured = more.unionByName(some.join(open_hubs, "hub").select(*more.columns))
+    first = stage(components(near(more).unionByName(tied.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
     rest = stage(ring_edges(measured, first, sets, p), "rest")
     links = first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(rest)
     roots = components(links)
