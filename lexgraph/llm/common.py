@@ -22,6 +22,8 @@ from lexgraph.plans.stage import stage_sized
 
 # Texts are worked on in runs of about so many bytes, which bounds what a Python worker holds.
 RUN_BYTES = 4 << 20
+# Rows of an Arrow batch of texts.
+BATCH_ROWS = 1_000
 
 
 def by_value(module: str) -> None:
@@ -99,7 +101,12 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def text_rows(df: DataFrame, *columns: str | Column) -> DataFrame:
-    """[*columns, text] with the text as bytes; null texts are empty."""
+    """[*columns, text] with the text as bytes; null texts are empty.
+
+    Texts are long: the session's Arrow batches are held to ``BATCH_ROWS`` rows, which bounds what a task and its Python worker hold.
+    """
+    if int(df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
 
 
