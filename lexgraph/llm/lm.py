@@ -33,24 +33,14 @@ END = b"\n"  # the token that ends a text; no word can hold it
 
 class TreeParams(NamedTuple):
     """``frequent``: words with at least this share of the training tokens have their counts sent to every task, so at
-    most so many. ``block``: bytes of text that ask for their grams together. ``share`` is for ``train_tree`` only.
+    most so many. ``block``: bytes of text that ask for their grams together. ``asking``: blocks whose asks to one chunk meet in a task.
+    ``depth`` is at most 6: a gram is a byte and its context in 64 bits.
     """
 
     depth: int = 6
-    share: int = 1 << 16
     frequent: int = 1 << 19
-    block: int = 32 << 20
-
-
-class Tree(NamedTuple):
-    """Node 0 is the empty context. ``child[node * 256 + byte]`` is the node of the context with one older byte, or -1.
-
-    ``logp[node * 256 + byte]`` is the log10 probability of a byte where ``node`` is the longest matching context.
-    """
-
-    child: np.ndarray
-    logp: np.ndarray
-    depth: int
+    block: int = 16 << 20
+    asking: int = 256
 
 
 class Frequent(NamedTuple):
@@ -86,44 +76,6 @@ def packed(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     return out[places]
 
 
-def count_grams(docs: DataFrame, p: TreeParams) -> DataFrame:
-    """[gram, n] of the bytes with their contexts in docs [text bytes]; summed in each task before anything moves."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            for run in runs(batch, 3 << 20):
-                data, places, _ = laid_out(texts(run), p.depth)
-                new, n = np.unique(packed(data, places, p.depth), return_counts=True)
-                keys = np.concatenate([gram, new])
-                order = np.argsort(keys, kind="stable")
-                keys, n = keys[order], np.concatenate([total, n])[order]
-                begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-                gram, total = keys[begins], np.add.reduceat(n, begins)
-                if len(gram) > 1_500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total)], ["gram", "n"])
-                    gram, total = gram[:0], total[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total)], ["gram", "n"])
-
-    return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def tree_counts(grams: DataFrame, p: TreeParams) -> DataFrame:
-    """[depth, context, byte, n] of the nodes of the tree, from [gram, n]."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    levels = []
-    for d in range(p.depth, -1, -1):
-        mask = (1 << (8 * (d + 1))) - 1
-        sums = grams.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        rows = sums.select(F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(F.lit(255)).alias("byte"), "n")
-        nodes = rows.groupBy("context").agg(F.sum("n").alias("all")).where(F.col("all") * p.share >= total).select("context")
-        levels.append(rows.join(nodes, "context").select(F.lit(d).alias("depth"), "context", "byte", "n"))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function for x >= 0.5: Stirling's series from x + 8 on."""
     y = x + 8.0
@@ -133,126 +85,8 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
-def bit_counts(counts: np.ndarray) -> np.ndarray:
-    """[node, 512] sums over the binary tree of bytes: entry 1 all, entries 2i and 2i+1 the halves of entry i, from 256 on the bytes."""
-    out = np.zeros((len(counts), 512))
-    out[:, 256:] = counts
-    for width in (128, 64, 32, 16, 8, 4, 2, 1):
-        out[:, width : 2 * width] = out[:, 2 * width : 4 * width : 2] + out[:, 2 * width + 1 : 4 * width : 2]
-    return out
-
-
-def block_logp(bits: np.ndarray) -> np.ndarray:
-    """[node, 256] log of the Krichevsky-Trofimov probability of all decisions seen at each entry."""
-    a, b = bits[:, 0:512:2], bits[:, 1:512:2]
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
-
-
-def next_one(bits: np.ndarray) -> np.ndarray:
-    """[node, 256] estimate that the next decision at each entry is 1."""
-    a, b = bits[:, 0:512:2], bits[:, 1:512:2]
-    return (b + 0.5) / (a + b + 1.0)
-
-
-def sum_by(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Rows summed by their number in ``at``."""
-    order = np.argsort(at, kind="stable")
-    begins = np.flatnonzero(np.append(True, at[order][1:] != at[order][:-1]))
-    out = np.zeros((size, rows.shape[1]))
-    out[at[order][begins]] = np.add.reduceat(rows[order], begins, axis=0)
-    return out
-
-
-NODES_AT_ONCE = 1024  # bounds what the driver holds beside the tree
-
-
-def weigh(levels: list[tuple[np.ndarray, np.ndarray]], depth: int) -> Tree:
-    """The tree from (contexts, counts [node, 256]) of each depth; contexts are sorted."""
-    contexts = [c for c, _ in levels]
-    parents = [np.searchsorted(contexts[d - 1], contexts[d] & ((1 << (8 * (d - 1))) - 1)) if d else None for d in range(len(levels))]
-    stop = [np.ones((len(c), 256), np.float32) for c in contexts]
-    rest_one = [np.empty((len(c), 256), np.float32) for c in contexts]
-    below = np.zeros((0, 256))
-    for d in range(len(levels) - 1, -1, -1):
-        deeper, below = below, np.empty((len(contexts[d]), 256))
-        up = parents[d + 1] if d + 1 < len(levels) else np.zeros(0, np.int64)
-        order = np.argsort(up, kind="stable")
-        for begin in range(0, len(contexts[d]), NODES_AT_ONCE):
-            end = min(begin + NODES_AT_ONCE, len(contexts[d]))
-            bits = bit_counts(levels[d][1][begin:end])
-            own = block_logp(bits)
-            kids = order[slice(*np.searchsorted(up[order], [begin, end]))]
-            if len(kids):
-                rest = bits - sum_by(up[kids] - begin, bit_counts(levels[d + 1][1][kids]), end - begin)
-                split = block_logp(rest) + sum_by(up[kids] - begin, deeper[kids], end - begin)
-                stop[d][begin:end] = 1.0 / (1.0 + np.exp(np.clip(split - own, -700, 700)))
-                below[begin:end] = own + np.log(0.5) + np.logaddexp(0.0, split - own)
-            else:
-                rest, below[begin:end] = bits, own
-            rest_one[d][begin:end] = next_one(rest)
-    offsets = np.cumsum([0, *(len(c) for c in contexts)])
-    child = np.full(offsets[-1] * 256, -1, np.int32)
-    logp = np.empty((offsets[-1], 256), np.float32)
-    mixing = carry = np.zeros((0, 256), np.float32)
-    for d in range(len(levels)):
-        above, carried = mixing, carry
-        mixing, carry = np.empty_like(stop[d]), np.empty_like(stop[d])
-        if d:
-            older = contexts[d] >> (8 * (d - 1))
-            child[(offsets[d - 1] + parents[d]) * 256 + older] = offsets[d] + np.arange(len(contexts[d]))
-        for begin in range(0, len(contexts[d]), NODES_AT_ONCE):
-            here = slice(begin, min(begin + NODES_AT_ONCE, len(contexts[d])))
-            left = carried[parents[d][here]] if d else np.ones_like(stop[d][here])
-            mixing[here] = left * stop[d][here] * next_one(bit_counts(levels[d][1][here]))
-            if d:
-                mixing[here] += above[parents[d][here]]
-            carry[here] = left * (1 - stop[d][here])
-            # Kept off 0 and 1 by what single precision can tell, so that nothing is impossible.
-            one = np.clip(mixing[here] + carry[here] * rest_one[d][here], 1e-7, 1 - 1e-7)
-            # The eight decisions of each byte, from its highest bit on.
-            total = np.zeros_like(one)
-            for bit in range(8):
-                entry = (256 + np.arange(256)) >> (8 - bit)
-                taken = (np.arange(256) >> (7 - bit)) & 1
-                total += np.log10(np.where(taken, one[:, entry], 1 - one[:, entry]))
-            logp[offsets[d] + here.start : offsets[d] + here.stop] = total
-    return Tree(child, logp.ravel(), depth)
-
-
-def train_tree(docs: DataFrame, p: TreeParams = TreeParams()) -> Tree:
-    """The tree of the common contexts of docs [text bytes], those with 1/``share`` of the bytes, small enough to be held in one
-    place; ``score_texts`` uses the whole tree instead. Without docs, every byte has probability 1/256."""
-    rows = tree_counts(stage(count_grams(docs, p), "grams"), p).toArrow()  # at most (depth + 1) * share * 256 rows
-    depth, context, byte, n = (rows.column(c).to_numpy() for c in ("depth", "context", "byte", "n"))
-    levels = []
-    for d in range(p.depth + 1):
-        here = depth == d
-        nodes, row = np.unique(context[here], return_inverse=True)
-        if d == 0 and not len(nodes):
-            nodes = np.zeros(1, np.int64)
-        counts = np.zeros((len(nodes), 256))
-        counts[row, byte[here]] = n[here]
-        levels.append((nodes, counts))
-    while len(levels) > 1 and not len(levels[-1][0]):
-        levels.pop()
-    return weigh(levels, len(levels) - 1)
-
-
-def tree_scores(bodies: list[bytes], tree: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability and length in bytes of each text."""
-    data, places, begins = laid_out(bodies, tree.depth)
-    node = np.zeros(len(places), np.int32)
-    alive = np.arange(len(places), dtype=np.int32)
-    for d in range(1, tree.depth + 1):
-        found = tree.child[node[alive] * np.int32(256) + data[places[alive] - d]]
-        alive, found = alive[found >= 0], found[found >= 0]
-        node[alive] = found
-    logp = tree.logp[node * np.int32(256) + data[places]]
-    return np.add.reduceat(logp, begins, dtype=np.float64), np.diff(np.append(begins, len(places)))
-
-
 SPLIT = 3  # last bytes of a context that name its subtree
-GRAMS_AT_ONCE = 3_000_000  # held by a task that counts
+GRAMS_AT_ONCE = 1_000_000  # held by a task that counts
 
 
 class Top(NamedTuple):
@@ -373,6 +207,23 @@ def dealt(gram: np.ndarray, chunks: int, p: TreeParams) -> Iterator[tuple[int, n
         yield int(chunk[places[0]]), places
 
 
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers for the way to another task: their differences, compressed; sorted ones take two or three bytes each."""
+    size = np.int64(len(numbers)).tobytes()
+    return size + pa.compress(np.diff(numbers, prepend=0).astype(np.int64).tobytes(), codec="zstd", asbytes=True) if len(numbers) else size
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    size = int(np.frombuffer(data, np.int64, 1)[0])
+    if not size:
+        return np.zeros(0, np.int64)
+    return np.cumsum(np.frombuffer(pa.decompress(data[8:], decompressed_size=8 * size, codec="zstd", asbytes=True), np.int64))
+
+
+def all_unpacked(values: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *map(unpacked, values.to_pylist())])
+
+
 def numbers_in(values: pa.ChunkedArray, kind: type = np.int64) -> np.ndarray:
     return np.frombuffer(b"".join(values.to_pylist()), kind)
 
@@ -385,7 +236,7 @@ def train_chunks(train: DataFrame, chunks: int, p: TreeParams) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            rows = [(c, gram[at].tobytes(), n[at].tobytes()) for c, at in dealt(gram, chunks, p)]
+            rows = [(c, packed_numbers(gram[at]), packed_numbers(n[at])) for c, at in dealt(gram, chunks, p)]
             types = (("chunk", pa.int64()), ("gram", pa.binary()), ("n", pa.binary()))
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(types)], [c for c, _ in types])
 
@@ -401,9 +252,9 @@ def train_chunks(train: DataFrame, chunks: int, p: TreeParams) -> DataFrame:
         yield flush()
 
     def join(table: pa.Table) -> pa.Table:
-        gram, n = summed(numbers_in(table["gram"]), numbers_in(table["n"]))
+        gram, n = summed(all_unpacked(table["gram"]), all_unpacked(table["n"]))
         _, above = subtrees(gram, n, p)
-        packs = [pa.array([x.tobytes()], pa.binary()) for x in (gram, n, *above)]
+        packs = [pa.array([x], pa.binary()) for x in (packed_numbers(gram), packed_numbers(n), *(a.tobytes() for a in above))]
         return pa.table([table["chunk"].combine_chunks()[:1], *packs], ["chunk", "gram", "n", "key", "zeros", "ones", "split"])
 
     counted = train.select("text").mapInArrow(count, "chunk long, gram binary, n binary")
@@ -427,45 +278,60 @@ def train_top(trained: DataFrame, p: TreeParams) -> Top:
     return Top(descend(levels, np.zeros(size), np.ones(size)))
 
 
+def grams_of(batches: list[pa.RecordBatch], p: TreeParams) -> np.ndarray:
+    """The distinct grams of the texts of a block, in order."""
+    gram = waiting = np.zeros(0, np.int64)
+    for batch in batches:
+        for run in runs(batch, 2 << 20):
+            data, places, _ = laid_out(texts(run), p.depth)
+            waiting = np.concatenate([waiting, distinct_of(packed(data, places, p.depth))])
+            if len(waiting) > GRAMS_AT_ONCE:
+                gram, waiting = distinct_of(np.concatenate([gram, waiting])), waiting[:0]
+    return distinct_of(np.concatenate([gram, waiting]))
+
+
 def ask_chunks(rows: DataFrame, chunks: int, p: TreeParams) -> DataFrame:
-    """[block, chunk, gram]: the distinct grams of each block of rows [block, text bytes], packed by chunk."""
+    """[block, chunk, gram]: the distinct grams of each block of rows [block, text bytes, ...], packed by chunk."""
 
     def ask(table: pa.Table) -> pa.Table:
-        gram = waiting = np.zeros(0, np.int64)
-        for batch in table.to_batches():
-            for run in runs(batch, 3 << 20):
-                data, places, _ = laid_out(texts(run), p.depth)
-                waiting = np.concatenate([waiting, distinct_of(packed(data, places, p.depth))])
-                if len(waiting) > GRAMS_AT_ONCE:
-                    gram, waiting = distinct_of(np.concatenate([gram, waiting])), waiting[:0]
-        gram = distinct_of(np.concatenate([gram, waiting]))
-        asked = [(c, gram[at].tobytes()) for c, at in dealt(gram, chunks, p)]
+        gram = grams_of(table.to_batches(), p)
+        asked = [(c, packed_numbers(gram[at])) for c, at in dealt(gram, chunks, p)]
         block = table["block"][0].as_py()
         return pa.table(
             [pa.array([block] * len(asked), pa.int64()), pa.array([c for c, _ in asked], pa.int64()), pa.array([g for _, g in asked], pa.binary())],
             ["block", "chunk", "gram"],
         )
 
-    return rows.select("block", "text").groupBy("block").applyInArrow(ask, "block long, chunk long, gram binary")
+    # All columns, though only two are used: the blocks are dealt as they are for the scores, so one exchange serves both.
+    return rows.groupBy("block").applyInArrow(ask, "block long, chunk long, gram binary")
+
 
+def answer_blocks(trained: DataFrame, asked: DataFrame, blocks: int, p: TreeParams) -> DataFrame:
+    """[block, chunk, logp], packed: what each block has asked a chunk for, in the order asked, from the subtrees of ``trained``.
 
-def answer_blocks(trained: DataFrame, asked: DataFrame, p: TreeParams) -> DataFrame:
-    """[block, gram, logp], packed: what each block has asked for, from the subtrees of ``trained``."""
+    A common context has asks of all blocks: its chunk is repeated for every ``asking`` of them, so no task gets more.
+    """
     top = shared(asked.sparkSession, train_top(trained, p))
 
     def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
         above = top().levels
-        levels, (keys, *_) = subtrees(numbers_in(own["gram"]), numbers_in(own["n"]), p)
+        levels, (keys, *_) = subtrees(all_unpacked(own["gram"]), all_unpacked(own["n"]), p)
         at = np.searchsorted(above[0][0], keys)
         levels = descend(levels, above[0][1][at], above[0][2][at])
-        packs = asked["gram"].to_pylist()
-        gram, row = np.unique(np.frombuffer(b"".join(packs), np.int64), return_inverse=True)
-        logp = gram_logp(gram, [*levels, *above], p.depth).astype(np.float32)[row]
-        ends = np.cumsum([len(pack) // 8 for pack in packs])[:-1]
-        return pa.table([asked["block"], asked["gram"], pa.array([x.tobytes() for x in np.split(logp, ends)] if packs else [], pa.binary())], ["block", "gram", "logp"])
-
-    both = asked.groupBy("chunk").cogroup(trained.select("chunk", "gram", "n").groupBy("chunk"))
-    return both.applyInArrow(answer, "block long, gram binary, logp binary")
+        packs = [unpacked(pack) for pack in asked["gram"].to_pylist()]
+        gram = distinct_of(np.concatenate([np.zeros(0, np.int64), *packs]))
+        logp = np.zeros(len(gram), np.float32)
+        for begin in range(0, len(gram), GRAMS_AT_ONCE // 8):
+            here = slice(begin, begin + GRAMS_AT_ONCE // 8)
+            logp[here] = gram_logp(gram[here], [*levels, *above], p.depth)
+        found = [logp[np.searchsorted(gram, pack)].tobytes() for pack in packs]
+        return pa.table([asked["block"], asked["chunk"], pa.array(found, pa.binary())], ["block", "chunk", "logp"])
+
+    salts = -(-blocks // p.asking)
+    salted = asked.withColumn("salt", (F.col("block") % salts).cast("int"))
+    repeated = trained.select("chunk", "gram", "n", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    both = salted.groupBy("chunk", "salt").cogroup(repeated.groupBy("chunk", "salt"))
+    return both.applyInArrow(answer, "block long, chunk long, logp binary")
 
 
 def asked_scores(bodies: list[bytes], gram: np.ndarray, logp: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -518,14 +384,17 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
     asking = size_of(rows)
     blocks = max(spark.sparkContext.defaultParallelism, -(-asking // p.block))
     chunks = max(512, (asking + size_of(learn)) // p.block)
-    rows = rows.withColumn("block", F.pmod(F.col("row"), F.lit(blocks)))
+    rows = rows.withColumn("block", F.pmod(F.col("row"), F.lit(blocks)))  # the same plan for asks and scores
     trained = stage(train_chunks(learn, chunks, p), "subtrees")
-    answers = answer_blocks(trained, ask_chunks(rows, chunks, p), p)
+    answers = answer_blocks(trained, ask_chunks(rows, chunks, p), blocks, p)
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        gram, logp = numbers_in(answers["gram"]), numbers_in(answers["logp"], np.float32)
-        order = np.argsort(gram)
-        return pa.Table.from_batches(list(score_runs(docs.to_batches(), gram[order], logp[order])))
+        gram = grams_of(docs.to_batches(), p)
+        logp = np.zeros(len(gram), np.float32)
+        told = dict(zip(answers["chunk"].to_pylist(), answers["logp"]))
+        for chunk, at in dealt(gram, chunks, p):
+            logp[at] = np.frombuffer(told[chunk].as_buffer(), np.float32)
+        return pa.Table.from_batches(list(score_runs(docs.to_batches(), gram, logp)))
 
     def score_runs(batches: list[pa.RecordBatch], gram: np.ndarray, answered: np.ndarray) -> Iterator[pa.RecordBatch]:
         frequent = rank().counts

@@ -73,21 +73,43 @@ class PlainTree:
 TRAIN = ["abra cadabra", "abracad abra", "", None, "Cab é"]
 
 
-def test_tree_against_plain(spark):
-    df = spark.createDataFrame([(t,) for t in TRAIN], "text string").selectExpr("coalesce(cast(text as binary), cast('' as binary)) as text")
-    for depth, share in ((2, 1000), (3, 12), (1, 3)):
-        tree = lm.train_tree(df, TreeParams(depth=depth, share=share))
-        plain = PlainTree([(t or "").encode() for t in TRAIN], depth, share)
-        texts = [b"abra cab", b"", "zé".encode(), b"A  b"]
-        got, size = lm.tree_scores(texts, tree)
-        assert np.allclose(got, [plain.score(t) for t in texts], atol=1e-4)
-        assert size.tolist() == [9, 1, 4, 4]
+def test_probabilities_of_a_byte_sum_to_one(spark):
+    """Of all texts of one byte after the same history."""
+    learn = spark.createDataFrame([(t or "",) for t in TRAIN], "text string")
+    docs = spark.createDataFrame([(i, bytes([i])) for i in range(1, 128) if i not in b" \t\n\v\f\r"], "doc_id long, text binary").selectExpr("doc_id", "cast(text as string) text")
+    one = {r["doc_id"]: r for r in lm.score_texts(docs, learn, TreeParams(depth=1)).collect()}
+    plain = PlainTree([(t or "").encode() for t in TRAIN], 1, 10**9)
+    assert np.allclose([one[i]["score"] for i in one], [plain.score(bytes([i])) for i in one], atol=1e-4)
 
 
-def test_probabilities_of_a_byte_sum_to_one(spark):
-    df = spark.createDataFrame([(t or "",) for t in TRAIN], "text string").selectExpr("cast(text as binary) as text")
-    tree = lm.train_tree(df, TreeParams(depth=3, share=50))
-    assert np.allclose((10.0 ** tree.logp.reshape(-1, 256).astype(float)).sum(axis=1), 1, atol=1e-4)
+def test_packed_numbers():
+    rng = np.random.default_rng(0)
+    for numbers in (np.zeros(0, np.int64), np.array([5]), np.sort(rng.integers(0, 1 << 56, 1000)), rng.integers(1, 9, 50)):
+        assert (lm.unpacked(lm.packed_numbers(numbers)) == numbers).all()
+
+
+def test_one_context_with_half_of_all_grams(spark):
+    """Asks to a common context are dealt by blocks; the scores stay those of the plain tree."""
+    train = ["ab" * 40 + f" x{i}" for i in range(12)]
+    learn = spark.createDataFrame([(t,) for t in train], "text string")
+    texts = ["ab" * (5 + i) + f"c{i}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    plain = PlainTree([t.encode() for t in train], 3, 10**9)
+    rows = lm.score_texts(docs, learn, TreeParams(depth=3, block=16, asking=3)).collect()
+    assert np.allclose([r["score"] for r in sorted(rows)], [plain.score(texts[r["doc_id"]].encode()) for r in sorted(rows)], atol=1e-4)
+
+
+def test_tree_beats_the_words_on_held_out_texts(spark):
+    """Held-out texts of known phrases: the tree sees what came before a byte, the base only single words."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("aeioukrstmnlpd") for _ in range(rng.randrange(3, 8)))
+    phrases = [" ".join(word() for _ in range(4)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(15))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm.score_texts(docs, docs.where("doc_id % 4 <> 0")).where("doc_id % 4 = 0").collect()
+    assert sum(r["score"] for r in got) > 0.8 * sum(r["base_score"] for r in got)
 
 
 def test_base_scores_and_odd_rows(spark, odd, odd_texts):
@@ -133,6 +155,6 @@ def test_whole_tree_is_scored(spark):
 def test_rare_contexts_keep_their_counts(spark):
     """Unrelated text must not take the contexts of a small source out of the tree."""
     docs = spark.createDataFrame([(1, "qzj xvk wqz")], "doc_id long, text string")
-    score = lambda rows: lm.score_texts(docs, spark.createDataFrame(rows, "text string"), TreeParams(share=64)).first()["score"]
+    score = lambda rows: lm.score_texts(docs, spark.createDataFrame(rows, "text string"), TreeParams()).first()["score"]
     rare = [("qzj xvk wqz",)] * 20
     assert abs(score(rare + [("0123456789" * 40,)] * 200) - score(rare)) < 4
