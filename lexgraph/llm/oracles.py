@@ -99,12 +99,15 @@ f AS (
          [{classes}] AS classes, [{common}] AS common
   FROM s LEFT JOIN repeats USING (doc_id)),
 {", ".join(refs)},
+own AS (
+  SELECT lang, [{', '.join(f'sum(classes[{i + 1}])' for i in range(n_class))}] AS co FROM f
+  WHERE lang NOT IN ({', '.join(quoted(lang) for lang in COMMON_WORDS)}) GROUP BY lang),
 judged AS (
   SELECT f.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-         least({", ".join(class_distances)}) AS cd, least({", ".join(word_distances)}) AS wd
-  FROM f, {", ".join(f"ref_{lang}" for lang in COMMON_WORDS)})
+         least({", ".join(class_distances)}) AS cd, least({", ".join(word_distances)}) AS wd, {distance("classes", "co")} AS od
+  FROM f LEFT JOIN own ON own.lang = f.lang, {", ".join(f"ref_{lang}" for lang in COMMON_WORDS)})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (n_words < {p.min_words} OR (cd <= {p.max_class} AND wd <= {p.max_words})) AS kept
+       NOT base_failed AND (n_words < {p.min_words} OR (cd <= {p.max_class} AND wd <= {p.max_words}) OR od <= {p.max_class}) AS kept
 FROM judged"""
 
 

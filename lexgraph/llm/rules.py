@@ -1,7 +1,8 @@
 """Quality rules by distribution divergence, in DataFrame functions only.
 
 A text's histogram of character classes and its histogram of common words are compared with those of each language by
-Jensen-Shannon distance; the nearest language counts. The references are summed from the documents of each language.
+Jensen-Shannon distance; the nearest language counts. The references are summed from the documents of each language: both
+histograms where its common words are given, that of the character classes for any other language in the data.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexgraph.plans.lookup import lookup_join
 from lexgraph.plans.stage import stage
 
 # The most common function words of each language.
@@ -130,31 +132,34 @@ def language_references(counted: DataFrame) -> dict[str, tuple[list[int], list[i
     return out
 
 
-def js_distance(counts: Column, reference: list[int]) -> Column:
-    """Square root of the Jensen-Shannon divergence in bits of an array of counts; 1 if one of the two is empty."""
-    whole = sum(reference)
-    if not whole:
-        return F.lit(1.0)
+def js_distance(counts: Column, reference: Column) -> Column:
+    """Square root of the Jensen-Shannon divergence in bits of two arrays of counts; 1 if one of the two is empty or null."""
 
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
-    def distance(total: Column) -> Column:
+    def distance(totals: Column) -> Column:
         shares = F.zip_with(
-            F.transform(counts, lambda c: c / total), F.array(*[F.lit(r / whole) for r in reference]),
+            F.transform(counts, lambda c: c / totals["a"]), F.transform(reference, lambda c: c / totals["b"]),
             lambda p, q: (part(p, (p + q) / 2) + part(q, (p + q) / 2)) / 2,
         )
         return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + x)))
 
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return let(total, lambda n: F.when(n > 0, distance(n)).otherwise(1.0))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    totals = F.struct(total(counts).alias("a"), total(reference).alias("b"))
+    return let(totals, lambda t: F.when((t["a"] > 0) & (t["b"] > 0), distance(t)).otherwise(1.0))
+
+
+def fixed(counts: list[int]) -> Column:
+    return F.array(*[F.lit(c).cast("long") for c in counts])
 
 
 def judge(docs: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     """[doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, class_distance, word_distance].
 
     ``kept``: not failed by the base rule, and either too short to be judged or near enough to a language in both
-    histograms. Without any reference every distance is 1 and texts long enough to be judged are not kept.
+    histograms. A text of a language whose common words are not given is also kept if its character classes are near those of all texts of that
+    language. Without any reference every distance is 1 and texts long enough to be judged are not kept.
     """
     counted = stage(base_counts(docs, p), "rules")
     references = language_references(counted)
@@ -162,14 +167,21 @@ def judge(docs: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     class_distances, word_distances = [F.lit(1.0)], [F.lit(1.0)]
     for lang, (class_ref, word_ref) in references.items():
         mine = [F.col("common")[words.index(w)] for w in COMMON_WORDS[lang].split()]
-        class_distances.append(js_distance(F.col("classes"), class_ref))
+        class_distances.append(js_distance(F.col("classes"), fixed(class_ref)))
         others = F.col("n_words") - reduce(lambda a, b: a + b, mine)
-        word_distances.append(js_distance(F.array(*mine, others), word_ref))
+        word_distances.append(js_distance(F.array(*mine, others), fixed(word_ref)))
+    # Any number of other languages: a grouped sum, joined back by its counted size.
+    sums = F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES) + 1)])
+    other_languages = counted.where(~F.col("lang").isin(list(COMMON_WORDS))).groupBy("lang").agg(sums.alias("own_classes"))
+    counted = lookup_join(counted, other_languages, "lang")
+    own_distance = js_distance(F.col("classes"), F.col("own_classes"))
     nearest = lambda found: F.least(*found, F.lit(1.0))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     near = (F.col("class_distance") <= p.max_class) & (F.col("word_distance") <= p.max_words)
     return (
         counted.withColumn("class_distance", nearest(class_distances)).withColumn("word_distance", nearest(word_distances))
-        .withColumn("base_failed", failed).withColumn("kept", ~failed & ((F.col("n_words") < p.min_words) | near))
+        .withColumn("own_distance", own_distance).withColumn("base_failed", failed)
+        .withColumn("kept", ~failed & ((F.col("n_words") < p.min_words) | near | (F.col("own_distance") <= p.max_class)))
+        .withColumn("class_distance", F.least("class_distance", "own_distance"))
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
     )

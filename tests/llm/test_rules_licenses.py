@@ -30,7 +30,7 @@ def test_distance_is_that_of_the_definition(spark):
     import math
 
     p, q = [4, 0, 6], [1, 1, 2]
-    df = spark.range(1).select(rules.js_distance(F.array(*[F.lit(x).cast("long") for x in p]), q).alias("d"))
+    df = spark.range(1).select(rules.js_distance(F.array(*[F.lit(x).cast("long") for x in p]), rules.fixed(q)).alias("d"))
     a, b = [x / 10 for x in p], [x / 4 for x in q]
     kl = lambda x, y: sum(u * math.log2(u / v) for u, v in zip(x, y) if u)
     m = [(u + v) / 2 for u, v in zip(a, b)]
@@ -145,3 +145,19 @@ def test_equal_scores_go_to_the_smaller_name(spark):
     same = {"Zeta": "one common wording of a license", "Alpha": "one common wording of a license"}
     df = files(spark, [(1, "a/x.txt", "one common wording of a license", "x", "x", "x", "x")])
     assert licenses.scan_licenses(df, templates=same).first()["license"] == "Alpha"
+
+
+def test_language_without_given_words(spark):
+    """A fifth language is judged by the character classes of its own texts; noise in it falls."""
+    import random
+
+    rng = random.Random(7)
+    letters = "абвгдежзиклмнопрст"
+    prose = lambda: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(80)).capitalize() + "."
+    english = "the cat and the dog of the house is in it for that was on are with by this be at or from " * 2
+    rows = [(i, prose(), "ru") for i in range(30)] + [(100, " ".join(str(rng.randrange(10**9)) + "#$%" for _ in range(80)), "ru")]
+    rows += [(200 + i, f"{english} word{i} " + " ".join(f"some{j} thing{i + j}" for j in range(30)), "en") for i in range(5)] + [(300, prose(), None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, own_classes string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in rules.judge(df).collect()}
+    assert all(got[i] == (False, True) for i in range(30))
+    assert got[100] == (False, False) and got[300] == (False, False)
