@@ -69,8 +69,8 @@ def span_hashes(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray
 
 
 # The place of a row within its id: 31 bits of the text's hash, so that rows with one id and different
-# texts are told apart, then the word's position.
-PLACE_BITS = 24
+# texts are told apart, then the word's position in 32 bits, more than any text has words.
+PLACE_BITS = 32
 
 
 def text_key():
