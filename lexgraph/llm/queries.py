@@ -37,10 +37,15 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    """Where the public vocabulary file is: in the folder LEXGRAPH_TOKENIZERS, by default /opt/tokenizers."""
+    """Where the public vocabulary file is: in the folder LEXGRAPH_TOKENIZERS, else where the package of public tokenizers has it."""
     import os
 
-    return os.path.join(os.environ.get("LEXGRAPH_TOKENIZERS", "/opt/tokenizers"), name)
+    folder = os.environ.get("LEXGRAPH_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
