@@ -72,13 +72,13 @@ def arrow_pass(
     return df.mapInArrow(over, schema)
 
 
-def runs(batch: pa.RecordBatch, run_bytes: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts of a batch of about ``run_bytes`` of text; a longer text is a run of its own. Without a text: of 256 rows."""
-    if batch.schema.get_field_index("text") < 0:
+def runs(batch: pa.RecordBatch, run_bytes: int = RUN_BYTES, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Cuts of a batch of about ``run_bytes`` of the texts in column ``name``; a longer text is a run of its own. Without that column: of 256 rows."""
+    if batch.schema.get_field_index(name) < 0:
         yield from (batch.slice(at, 256) for at in range(0, batch.num_rows, 256))
         return
     begin, size = 0, 0
-    for i, length in enumerate(pc.binary_length(column(batch, "text")).to_pylist()):
+    for i, length in enumerate(pc.binary_length(column(batch, name)).to_pylist()):
         if size and size + length > run_bytes:
             yield batch.slice(begin, i - begin)
             begin, size = i, 0
