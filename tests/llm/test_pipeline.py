@@ -90,7 +90,7 @@ def test_query_against_sql(spark, key):
 
 
 def test_all_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     assert "pipeline" not in entry.oracle_sql()
 
