@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -69,11 +70,12 @@ def laid_out(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, n
 
 def packed(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """Each byte with its context: the byte lowest, then the last byte before it, and so on."""
-    wide = data.astype(np.int64)
-    out = wide.copy()
-    for d in range(1, depth + 1):
-        out[d:] |= wide[:-d] << (8 * d)
-    return out[places]
+    out = data.astype(np.uint64)
+    width = 1
+    while width <= depth:  # twice as many bytes each time
+        out[width:] |= out[:-width] << np.uint64(8 * width)
+        width *= 2
+    return (out[places] & np.uint64((1 << (8 * (depth + 1))) - 1)).astype(np.int64)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -168,9 +170,12 @@ def climb(
 def subtrees(gram: np.ndarray, n: np.ndarray, p: TreeParams) -> tuple[list[Level], tuple]:
     """``climb`` of the grams with a context of the full depth, up to the contexts of ``SPLIT`` bytes."""
     keys, falls = decisions(gram)
-    distinct, at = np.unique(keys.ravel(), return_inverse=True)
-    add = lambda x: np.bincount(at.ravel(), weights=x.ravel(), minlength=len(distinct)).astype(np.int64)
-    return climb(distinct, add(n * (1 - falls)), add(n * falls), None, p.depth, min(SPLIT, p.depth))
+    keys = keys.ravel()
+    # The grams are in order, so equal decisions stand together.
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    add = lambda x: np.add.reduceat(x.ravel(), heads) if len(heads) else np.zeros(0, np.int64)
+    order = np.argsort(keys[heads], kind="stable")
+    return climb(keys[heads][order], add(n * (1 - falls))[order], add(n * falls)[order], None, p.depth, min(SPLIT, p.depth))
 
 
 def descend(levels: list[Level], mixing: np.ndarray, carry: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -183,8 +188,10 @@ def descend(levels: list[Level], mixing: np.ndarray, carry: np.ndarray) -> list[
 
 
 def gram_logp(gram: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], depth: int) -> np.ndarray:
-    """log10 probability of the byte of each gram; ``levels`` from ``depth`` to 0. What no context has seen is even."""
-    keys, falls = (x.ravel() for x in decisions(gram))
+    """log10 probability of the byte of each of the sorted grams; ``levels`` from ``depth`` to 0. What no context has seen is even."""
+    each, falls = (x.ravel() for x in decisions(gram))
+    new = np.append(True, each[1:] != each[:-1])[: len(each)]
+    keys, at_key = each[new], np.cumsum(new) - 1
     mixing, carry, open_ = np.zeros(len(keys)), np.ones(len(keys)), np.arange(len(keys))
     for d, (known, mix, left) in zip(range(depth, -1, -1), levels):
         if not len(known):
@@ -194,7 +201,7 @@ def gram_logp(gram: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray, np.nd
         hit = known[at] == wanted
         mixing[open_[hit]], carry[open_[hit]] = mix[at[hit]], left[at[hit]]
         open_ = open_[~hit]
-    one = mixing + carry * 0.5
+    one = (mixing + carry * 0.5)[at_key]
     return np.log10(np.where(falls == 1, one, 1 - one)).reshape(8, -1).sum(axis=0)
 
 
@@ -335,11 +342,23 @@ def answer_blocks(trained: DataFrame, asked: DataFrame, blocks: int, p: TreePara
 
 
 def asked_scores(bodies: list[bytes], gram: np.ndarray, logp: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """log10 probability and length in bytes of each text, from the sorted grams of its block."""
+    """log10 probability and length in bytes of each text, from the sorted grams of its block.
+
+    A gram leaves 8 of 64 bits free, so 256 texts at a time are sorted together, each gram with the number of its text.
+    """
     data, places, begins = laid_out(bodies, depth)
-    distinct, at = np.unique(packed(data, places, depth), return_inverse=True)
-    found = logp[np.searchsorted(gram, distinct)][at]
-    return np.add.reduceat(found, begins, dtype=np.float64), np.diff(np.append(begins, len(places)))
+    keys = packed(data, places, depth).astype(np.uint64) << np.uint64(8)
+    size = np.diff(np.append(begins, len(places)))
+    out = np.zeros(len(bodies))
+    for first in range(0, len(bodies), 256):
+        some = size[first : first + 256]
+        begin = begins[first]
+        own = np.sort(keys[begin : begin + some.sum()] | np.repeat(np.arange(len(some), dtype=np.uint64), some))
+        seen, number = (own >> np.uint64(8)).astype(np.int64), (own & np.uint64(255)).astype(np.int64)
+        heads = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
+        found = np.repeat(logp[np.searchsorted(gram, seen[heads])], np.diff(np.append(heads, len(seen))))
+        out[first : first + 256] = np.bincount(number, weights=found, minlength=len(some))
+    return out, size
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
@@ -402,16 +421,23 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
             for run in runs(batch, 2 << 20):
                 bodies, keys = texts(run), column(run, "row").to_pylist()
                 logp, size = asked_scores(bodies, gram, answered, p.depth)
-                n_tokens, n_known, base = [], [], []
+                found: list[bytes] = []
+                ends = []
+                for text in bodies:
+                    found += tokens_of(text)
+                    found.append(END)
+                    ends.append(len(found))
+                c = np.fromiter(map(frequent.get, found, repeat(0)), np.int64, len(found))
+                ends = np.array(ends, np.int64)
+                begins = np.append(0, ends[:-1])
+                n_tokens, n_known = ends - begins, np.add.reduceat((c > 0).astype(np.int64), begins)
+                base = np.add.reduceat(np.log10(c + 1.0), begins)
+                unknown = np.flatnonzero(c == 0)
+                last = np.searchsorted(unknown, ends).tolist()
+                words = list(map(found.__getitem__, unknown.tolist()))
                 rare_word, rare_row, rare_n = [], [], []
-                for key, text in zip(keys, bodies):
-                    found = [*tokens_of(text), END]
-                    c = [frequent.get(w, 0) for w in found]
-                    values = np.array(c, np.float64)
-                    rare = Counter(w for w, x in zip(found, c) if not x)
-                    n_tokens.append(len(found))
-                    n_known.append(int((values > 0).sum()))
-                    base.append(float(np.log10(values[values > 0] + 1).sum()))
+                for key, a, b in zip(keys, [0, *last[:-1]], last):
+                    rare = Counter(words[a:b])
                     rare_word.extend(rare)
                     rare_row.extend([key] * len(rare))
                     rare_n.extend(rare.values())
@@ -422,8 +448,7 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
                         pa.array([None] * one + rare_word, pa.binary()), pa.array(keys + rare_row, pa.int64()),
                         pa.array([0] * one + rare_n, pa.int64()), pa.array([1] * one + [0] * none, pa.int64()),
                         pa.concat_arrays([column(run, "doc_id"), pa.nulls(none, column(run, "doc_id").type)]),
-                        pa.array(n_tokens + [0] * none, pa.int64()), pa.array(n_known + [0] * none, pa.int64()),
-                        pa.array(base + [0.0] * none), pa.array(logp.tolist() + [0.0] * none), pa.array(size.tolist() + [0] * none, pa.int64()),
+                        *(pa.array(np.append(x, np.zeros(none, x.dtype))) for x in (n_tokens, n_known, base, logp, size)),
                     ],
                     ["word", "row", "n", "copies", "doc_id", "n_tokens", "n_known", "base", "score", "size"],
                 )
