@@ -462,7 +462,7 @@ def score_texts(docs: DataFrame, train: DataFrame, p: TreeParams = TreeParams())
     spread = F.coalesce("word", F.col("row").cast("string").cast("binary"))
     others = counts.where(~often).select(F.col("word").alias("at"), "c")
     joined = parts.withColumn("at", spread).join(others, "at", "left")
-    is_word, c = F.col("word").isNotNull(), F.coalesce("c", F.lit(0))
+    is_word, c = F.col("n") > 0, F.coalesce("c", F.lit(0))  # not the word again: it moves once, as the key
     summed = joined.groupBy("row").agg(
         F.sum("copies").alias("copies"), F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(is_word & (c > 0), F.col("n")).otherwise(0)).alias("n_known"),
