@@ -158,3 +158,23 @@ def test_rare_contexts_keep_their_counts(spark):
     score = lambda rows: lm.score_texts(docs, spark.createDataFrame(rows, "text string"), TreeParams()).first()["score"]
     rare = [("qzj xvk wqz",)] * 20
     assert abs(score(rare + [("0123456789" * 40,)] * 200) - score(rare)) < 4
+
+
+def test_scores_of_more_texts_than_are_sorted_together():
+    """Texts are sorted 256 at a time; each gets the sum over its own bytes, repeated and empty texts too."""
+    rng = np.random.default_rng(3)
+    bodies = [bytes(rng.integers(0, 256, int(n), dtype=np.uint8)) for n in rng.integers(0, 40, 600)] + [b"", b"a b"] * 50
+    data, places, begins = lm.laid_out(bodies, 6)
+    grams = lm.packed(data, places, 6)
+    known = lm.distinct_of(grams)
+    logp = rng.random(len(known)).astype(np.float32)
+    each = np.split(logp[np.searchsorted(known, grams)].astype(float), begins[1:])
+    score, size = lm.asked_scores(bodies, known, logp, 6)
+    assert np.allclose(score, [x.sum() for x in each]) and size.tolist() == [len(x) for x in each]
+
+
+def test_packed_holds_a_byte_and_its_context():
+    data = np.array([255, 254, 253, 252, 251, 250, 249, 248], np.uint8)
+    for depth in range(7):
+        want = sum(int(data[7 - d]) << (8 * d) for d in range(depth + 1))
+        assert lm.packed(data, np.array([7]), depth).tolist() == [want]
