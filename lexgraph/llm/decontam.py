@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are overlapping windows of words. Over the words of the benchmark, TF-IDF passages are reduced by a randomised
-SVD whose products are summed across tasks. Every passage of every document is projected and compared with the items
+SVD; what it needs of them, a sum for every two words that share passages, is added up across tasks over all documents. Every passage of every document is projected and compared with the items
 by cosine; what is near enough is checked by the longest common subsequence of words, and where that is only partly
 there (a paraphrase), by the item's answer. An item longer than a passage is searched by pieces of it and checked as a
 whole; one too short for its cosine to a passage to tell is searched by counting its words in windows of its own length.
@@ -19,10 +19,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexgraph.llm.common import RUN_BYTES, bounded_sample, by_value, column, runs, shared, text_rows, texts
+from lexgraph.llm.common import RUN_BYTES, by_value, column, runs, shared, text_rows
 from lexgraph.plans.stage import stage
 
 by_value(__name__)
@@ -32,7 +33,7 @@ MARKS = " .,;:!?\"'()[]{}<>*#$%&|-_¿¡«»"
 
 class Decontam(NamedTuple):
     """``step`` words are between passages, ``parts`` steps long. The latent space is fitted on the items, multiplied
-    by ``stress``, and on the passages of about ``sample`` documents, which weigh as much; it has ``extra`` dimensions more than items, as
+    by ``stress``, and on all passages of all documents, which together weigh as much; it has ``extra`` dimensions more than items, as
     passages of chance are close to nothing but themselves. Document frequencies are counted over all documents.
 
     Passages with a ``cosine`` to a piece of an item are checked; a piece of k words needs ``slack`` of sqrt(k / passage), its
@@ -45,7 +46,6 @@ class Decontam(NamedTuple):
     parts: int = 3
     extra: int = 56
     stress: float = 4.0
-    sample: int = 2_000
     iterations: int = 3
     cosine: float = 0.45
     slack: float = 0.75
@@ -108,23 +108,31 @@ def floors(items: Items, p: Decontam) -> np.ndarray:
     return np.where(np.array([len(w) for w in items.words])[owner] < p.short, np.inf, low).astype(np.float32)
 
 
-class WordNumbers(dict):
-    """Raw word -> its number in the block's vocabulary, -1 if it has none; remembered up to a limit."""
-
-    LIMIT = 120_000
+class WordNumbers:
+    """Numbers of words in the block's vocabulary, -1 for those it has not. Each distinct word of a run of texts is looked up once."""
 
     def __init__(self, vocabulary: dict[str, int]) -> None:
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, raw: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        found = self[raw] = self.vocabulary.get(raw.decode("utf-8", "replace").lower().strip(MARKS), -1)
-        return found
+        self.vocabulary = pa.array(list(vocabulary), pa.string())
 
     def all(self, text: bytes) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, text.split()), np.int64)
+        return self.of_run(pa.array([text], pa.binary()))[0]
+
+    def of_run(self, run: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of all texts, one text after another, and how many words each has."""
+        split = pc.ascii_split_whitespace(run.view(pa.string()))
+        coded, sizes = split.flatten().dictionary_encode(), split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        if not len(coded):
+            return np.zeros(0, np.int64), sizes
+        one = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        # Blanks end the words, so all can be lower-cased as one text.
+        lines = pc.binary_join(one, "\n")[0].as_buffer().to_pybytes().decode("utf-8", "replace").lower()
+        plain = pc.utf8_trim(pc.split_pattern(pa.array([lines], pa.string()), "\n").flatten(), MARKS)
+        number = pc.fill_null(pc.index_in(plain, value_set=self.vocabulary), -1).to_numpy().astype(np.int64)
+        at = coded.indices.to_numpy()
+        # A text that begins or ends with a blank, or has no word, is split into an empty one there.
+        real = pc.binary_length(coded.dictionary).to_numpy()[at] > 0
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        return number[at[real]], np.bincount(owner[real], minlength=len(sizes))
 
 
 MATRIX = 16 << 20  # cells of a matrix that a task holds
@@ -144,12 +152,13 @@ def numbered_words(docs: DataFrame, items: Items) -> DataFrame:
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = WordNumbers(sent().vocabulary)
-        size = len(numbers.vocabulary)
+        size = len(sent().vocabulary)
         kind, total, id_kind = number_kind(size + 1), np.zeros(size + 1, np.int64), None
         for batch in batches:
             total[size] += batch.num_rows
             for run in runs(batch):
-                ids = [numbers.all(text) for text in texts(run)]
+                every, sizes = numbers.of_run(column(run, "text"))
+                ids = np.split(every, np.cumsum(sizes)[:-1])
                 for begin in range(0, len(ids), at_once := max(1, MATRIX // size)):
                     here = ids[begin : begin + at_once]
                     seen = np.zeros((len(here), size + 1), bool)  # unknown words in the last column
@@ -180,70 +189,181 @@ def step_counts(ids: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, int
     return ids[at], at // step, -(-len(ids) // step)
 
 
-def fit_space(docs: DataFrame, items: Items, idf: np.ndarray, p: Decontam) -> Space:
-    """Randomised SVD by subspace iteration: each task adds up ``A.T @ (A @ basis)`` of its passages.
+class PairSums:
+    """Sums of weights by pair of words, at ``first * size + second``: a matrix if that fits a task, else sorted cells."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.waiting, self.held = size, [], 0
+        self.matrix = np.zeros(size * size) if size * size <= MATRIX else None
+
+    def add(self, cell: np.ndarray, weight: np.ndarray) -> None:
+        if self.matrix is not None:
+            np.add.at(self.matrix, cell, weight)
+            return
+        self.waiting.append((cell, weight))
+        self.held += len(cell)
+        if self.held > MATRIX // 2:
+            self.merge()
+
+    def merge(self) -> None:
+        cell, weight = map(np.concatenate, zip(*self.waiting))
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        begins = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        self.waiting, self.held = [(cell[begins], np.add.reduceat(weight[order], begins))], len(begins)
+
+    def full(self) -> bool:
+        return self.matrix is None and self.held > MATRIX // 4
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        """[word, others, sums] of the words that have a pair, both ways round, in batches of bounded size; then all is forgotten."""
+        at_once = max(1, MATRIX // 16 // max(1, self.size))
+        if self.matrix is None and self.waiting:
+            self.merge()
+        for begin in range(0, self.size, at_once):
+            if self.matrix is not None:
+                square = self.matrix.reshape(self.size, self.size)
+                yield packed_rows(begin, square[begin : begin + at_once] + square[:, begin : begin + at_once].T)
+            elif self.waiting:
+                block = np.zeros((min(at_once, self.size - begin), self.size))
+                cell, weight = self.waiting[0]
+                for row, other in ((cell // self.size, cell % self.size), (cell % self.size, cell // self.size)):
+                    here = (row >= begin) & (row < begin + at_once)
+                    np.add.at(block, (row[here] - begin, other[here]), weight[here])
+                yield packed_rows(begin, block)
+        self.__init__(self.size)
+
+
+def packed_rows(begin: int, block: np.ndarray) -> pa.RecordBatch:
+    """[word, others, sums] of the rows of ``block``, the first of which is word ``begin``; zeros are left out."""
+    found = [(begin + k, np.flatnonzero(row).astype(np.int32), row) for k, row in enumerate(block)]
+    found = [(word, at.tobytes(), row[at].tobytes()) for word, at, row in found if len(at)]
+    kinds = {"word": pa.int64(), "others": pa.binary(), "sums": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(kinds.values())], list(kinds))
+
+
+def unpacked_rows(rows: pa.RecordBatch | pa.Table, at: list[int], count: int, size: int) -> np.ndarray:
+    """[count, size] with the sums of each row added at its place ``at``."""
+    out = np.zeros((count, size))
+    for k, others, sums in zip(at, rows.column("others").to_pylist(), rows.column("sums").to_pylist()):
+        out[k, np.frombuffer(others, np.int32)] += np.frombuffer(sums)
+    return out
+
+
+def add_pairs(ids: list[np.ndarray], mass: np.ndarray, sums: PairSums, p: Decontam) -> int:
+    """Add for every two known words of each passage of the texts one over its squared length; gives the number of passages.
 
-    Only the basis, words of the block times rank, passes the driver.
+    A word's pair with itself counts half, as the sums are read both ways round. The texts lie end to end as in ``near_items``.
     """
-    spark = docs.sparkSession
-    size = len(idf)
+    size = np.array([len(x) for x in ids])
+    steps = -(-size // p.step)
+    begin_step = np.r_[0, np.cumsum(np.maximum(steps, p.parts))]
+    begin_word = np.r_[0, np.cumsum(size)]
+    every = np.concatenate(ids)
+    known = np.flatnonzero(every >= 0)
+    row = np.searchsorted(begin_word, known, side="right") - 1
+    words, step, n = every[known], begin_step[row] + (known - begin_word[row]) // p.step, int(begin_step[-1])
+    owner = np.repeat(np.arange(len(ids)), np.diff(begin_step))
+    begins_here = np.arange(n) - begin_step[owner] < np.maximum(1, steps[owner] - p.parts + 1)
+
+    # The squared length of a passage: the masses of all pairs of equal places in it, those of a place with itself first.
+    alone = np.bincount(step, weights=mass[words], minlength=n + p.parts)
+    squared = sum(alone[shift : shift + n] for shift in range(p.parts))
+    order = np.argsort(words, kind="stable")
+    same, of, left = words[order], step[order], np.arange(len(words))
+    for apart in range(1, len(words)):
+        left = left[: np.searchsorted(left, len(words) - apart)]
+        left = left[(same[left + apart] == same[left]) & (of[left + apart] - of[left] < p.parts)]
+        if not len(left):
+            break
+        for begin in range(p.parts):  # a passage that holds both begins at most so many steps before the first
+            here = left[(of[left + apart] - of[left] < p.parts - begin) & (of[left] >= begin)]
+            squared += np.bincount(of[here] - begin, weights=2 * mass[same[here]], minlength=n)
+
+    # Two places are both in the passages that begin from the later one's step less ``parts`` - 1 to the earlier one's: the sum of one over
+    # their squared lengths is a difference of running sums, and not above 0 if there are none.
+    running = np.r_[np.zeros(p.parts), np.cumsum(np.where(begins_here & (squared > 0), 1 / np.where(squared > 0, squared, 1), 0))]
+    until, since, base = running[step + p.parts], running[step], words * len(mass)
+    sums.add(base + words, (until - since) / 2)
+    for apart in range(1, len(words)):
+        both = until[:-apart] - since[apart:]
+        cell = base[:-apart] + words[apart:]
+        near = np.flatnonzero(both > 0)
+        if not len(near):
+            break
+        sums.add(*((cell, np.maximum(both, 0)) if len(near) > 0.8 * len(cell) else (cell[near], both[near])))
+    return int(begins_here.sum())
+
+
+def pair_sums(numbered: DataFrame, idf: np.ndarray, p: Decontam) -> tuple[DataFrame, int]:
+    """[word, others, sums], staged: for each word of the block the sums of ``add_pairs`` over all passages of all documents; and their number.
+
+    As many tasks as cores read the documents: the sums of each are words times words, however many documents there are.
+    """
+    spark, size = numbered.sparkSession, len(idf)
+    sent = spark.sparkContext.broadcast(idf * idf)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, sums, passages = number_kind(size + 1), PairSums(size), 0
+        for batch in batches:
+            for run in runs(batch, RUN_BYTES // 32, "ids"):
+                ids = [np.frombuffer(x, kind).astype(np.int64) - 1 for x in column(run, "ids").to_pylist()]
+                passages += add_pairs(ids, sent.value, sums, p)
+                if sums.full():
+                    yield from sums.take()
+        yield from sums.take()
+        # Beside the words, the number of passages.
+        yield packed_rows(size, np.array([[float(passages)]]))
+
+    def join(table: pa.Table) -> pa.Table:
+        words = table.column("word").to_pylist()
+        first = words[0] // group * group
+        block = unpacked_rows(table, [word - first for word in words], min(group, size + 1 - first), size)
+        return pa.Table.from_batches([packed_rows(first, block)])
+
+    group = max(1, min(256, MATRIX // 16 // size))
+    schema = "word long, others binary, sums binary"
+    parts = numbered.where("word is null").select("ids").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(add, schema)
+    joined = stage(parts.groupBy((F.col("word") / group).cast("int")).applyInArrow(join, schema), "pairs")
+    total = joined.where(F.col("word") == size).select("sums").first()
+    return joined.where(F.col("word") < size), int(np.frombuffer(total["sums"])[0]) if total else 0
+
+
+def fit_space(numbered: DataFrame, items: Items, idf: np.ndarray, p: Decontam) -> Space:
+    """Randomised SVD by subspace iteration over the items and all passages of all documents.
+
+    What ``A.T @ A`` is for the passages ``A`` is added up once; each iteration multiplies its rows, where they lie. Only the basis,
+    words of the block times rank, passes the driver.
+    """
+    spark, size = numbered.sparkSession, len(idf)
     pieces, _ = pieces_of(items, p)
     rank = min(len(pieces) + p.extra, size)
-    sent = shared(spark, items)
-    sample = stage(text_rows(bounded_sample(docs.select("doc_id", "text"), "doc_id", p.sample)), "sample")
+    rows, passages = pair_sums(numbered, idf, p)
 
-    def unit_rows(words: np.ndarray, row: np.ndarray, count: int) -> np.ndarray:
-        out = np.zeros((count, size), np.float32)
-        np.add.at(out, (row, words), 1)
-        out *= idf.astype(np.float32)
-        length = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(length > 0, length, 1)
-
-    mine = unit_rows(np.concatenate(pieces), np.repeat(np.arange(len(pieces)), [len(w) for w in pieces]), len(pieces))
+    mine = np.zeros((len(pieces), size), np.float32)
+    np.add.at(mine, (np.repeat(np.arange(len(pieces)), [len(w) for w in pieces]), np.concatenate(pieces)), 1)
+    mine *= idf.astype(np.float32)
+    length = np.linalg.norm(mine, axis=1, keepdims=True)
+    mine /= np.where(length > 0, length, 1)
 
     def product(basis: np.ndarray) -> np.ndarray:
-        given = spark.sparkContext.broadcast(basis)
+        given = spark.sparkContext.broadcast(idf[:, None] * basis)
 
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            numbers, now = WordNumbers(sent().vocabulary), given.value
-            total, passages = np.zeros((size + 1, now.shape[1])), 0
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for run in runs(batch, 1 << 18):
-                    words, row, count = [], [], 0
-                    for text in texts(run):
-                        ids, step, steps = step_counts(numbers.all(text), p.step)
-                        for part in range(p.parts):  # a step belongs to each passage that spans it
-                            inside = (step >= part) & (step - part < max(1, steps - p.parts + 1))
-                            words.append(ids[inside])
-                            row.append(step[inside] - part + count)
-                        count += max(1, steps - p.parts + 1)
-                    for begin in range(0, count, 512):
-                        w, r = np.concatenate(words), np.concatenate(row)
-                        here = (r >= begin) & (r < begin + 512)
-                        a = unit_rows(w[here], r[here] - begin, min(512, count - begin))
-                        total[:size] += a.T @ (a @ now)
-                    passages += count
-            total[size] = passages  # as one more row
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(size + 1)), pa.array(list(total), pa.list_(pa.float64()))], ["word", "row"]
-            )
-
-        def join(table: pa.Table) -> pa.Table:
-            rows = np.array(table.sort_by("word").column("row").to_pylist(), np.float64)
-            at = np.array(table.sort_by("word").column("word").to_pylist())
-            begins = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            return pa.table({"word": at[begins], "row": pa.array(list(np.add.reduceat(rows, begins, axis=0)), pa.list_(pa.float64()))})
-
-        # Partial products meet by groups of words, a few rows of each task in each group.
-        parts = sample.mapInArrow(add, "word long, row array<double>").withColumn("group", (F.col("word") / 256).cast("int"))
-        got = parts.groupBy("group").applyInArrow(join, "word long, row array<double>").toArrow()
+                for begin in range(0, batch.num_rows, 64):
+                    few = batch.slice(begin, 64)
+                    block = unpacked_rows(few, list(range(few.num_rows)), few.num_rows, size)
+                    out = [row.tobytes() for row in block @ given.value]
+                    yield pa.RecordBatch.from_arrays([column(few, "word"), pa.array(out, pa.binary())], ["word", "row"])
+
+        got = rows.mapInArrow(multiply, "word long, row binary").toArrow()
         given.unpersist()
-        out = p.stress**2 * (mine.T.astype(np.float64) @ (mine @ basis))
-        total = np.zeros((size + 1, basis.shape[1]))
-        if got.num_rows:
-            total[got.column("word").to_numpy()] = got.column("row").to_pylist()
-        # All passages together weigh as much as all pieces would unstressed, however many were sampled.
-        return out + total[:size] * (len(pieces) / max(1.0, total[size, 0]))
+        total = np.zeros((size, basis.shape[1]))
+        for word, row in zip(got.column("word").to_pylist(), got.column("row").to_pylist()):
+            total[word] = np.frombuffer(row)
+        # All passages together weigh as much as all pieces would unstressed, however many there are.
+        return p.stress**2 * (mine.T.astype(np.float64) @ (mine @ basis)) + idf[:, None] * total * (len(pieces) / max(1, passages))
 
     basis = np.linalg.qr(np.random.default_rng(11).standard_normal((size, min(size, rank + 16))))[0].astype(np.float32)
     for _ in range(p.iterations - 1):
@@ -439,7 +559,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, p: Decontam = Deco
             numbered = numbered_words(docs, items)
             df, total = document_frequencies(numbered, items)
             idf = np.log((1.0 + total) / (1.0 + df))
-            found.append(find_items(numbered, items, fit_space(docs, items, idf, p), p))
+            found.append(find_items(numbered, items, fit_space(numbered, items, idf, p), p))
         waiting.clear()
 
     for row in rows:

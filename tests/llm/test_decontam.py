@@ -119,3 +119,50 @@ def test_prefilter_counts_repeated_words(spark):
     docs = spark.createDataFrame([(1, text), (2, " ".join(rng.choices(words, k=80)))], "doc_id long, text string")
     rows = decontam.contaminated(docs, spark.createDataFrame([(7, item)], "item_id long, text string"), Decontam(cosine=0.1)).collect()
     assert {r["doc_id"]: r["item_ids"] for r in rows} == {1: [7], 2: []}
+
+
+def passages(texts, size, p):
+    """[passage, word] counts, one row for each passage of each text of word numbers."""
+    rows = []
+    for ids in texts:
+        for begin in range(0, max(1, -(-len(ids) // p.step) - p.parts + 1) * p.step, p.step):
+            here = ids[begin : begin + p.step * p.parts]
+            rows.append(np.bincount(here[here >= 0], minlength=size))
+    return np.array(rows, float)
+
+
+def test_pairs_of_words_in_passages(monkeypatch):
+    """Against passages written out, as a matrix and as sorted cells."""
+    rng, p, size = np.random.default_rng(5), Decontam(step=4), 30
+    texts = [rng.integers(-1, size, n) for n in (0, 1, 4, 5, 11, 12, 13, 60, 0, 200)] + [np.full(20, 3), np.full(30, -1)]
+    mass = np.r_[0.0, rng.random(size - 1)]
+    rows = passages(texts, size, p)
+    squared = (rows * rows) @ mass
+    want = rows.T @ (rows * np.divide(1, squared, out=np.zeros_like(squared), where=squared > 0)[:, None])
+    for cells in (decontam.MATRIX, 64):
+        monkeypatch.setattr(decontam, "MATRIX", cells)
+        sums = decontam.PairSums(size)
+        assert decontam.add_pairs(texts, mass, sums, p) == len(rows)
+        got = np.zeros((size, size))
+        for batch in sums.take():
+            got += decontam.unpacked_rows(batch, batch.column("word").to_pylist(), size, size)
+        np.testing.assert_allclose(got, want, atol=1e-9)
+        assert not np.any([batch.num_rows for batch in sums.take()])
+
+
+def test_space_is_fitted_on_all_documents(spark):
+    """2,400 documents: the sums hold the passages of each of them, not those of some."""
+    rng, p = random.Random(3), Decontam()
+    words = [f"t{i}" for i in range(300)]
+    docs = [(d if d % 7 else None, " ".join(rng.choices(words, k=rng.randint(0, 90))) if d % 11 else None) for d in range(2_400)]
+    block = decontam.read_block([(1, " ".join(words[:40])), (2, " ".join(words[30:70]))])
+    numbered = decontam.numbered_words(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), block)
+    idf = np.random.default_rng(6).random(len(block.vocabulary))
+    found, count = decontam.pair_sums(numbered, idf, p)
+    table, size = found.toArrow(), len(idf)
+    got = decontam.unpacked_rows(table, table.column("word").to_pylist(), size, size)
+    numbers = decontam.WordNumbers(block.vocabulary)
+    rows = passages([numbers.all((text or "").encode()) for _, text in docs], size, p)
+    squared = (rows * rows) @ (idf * idf)
+    assert count == len(rows) == sum(max(1, -(-len((t or "").split()) // p.step) - p.parts + 1) for _, t in docs)
+    np.testing.assert_allclose(got, rows.T @ (rows * np.divide(1, squared, out=np.zeros_like(squared), where=squared > 0)[:, None]), atol=1e-9)
