@@ -6,12 +6,15 @@ count and how they are written is decided by native array functions afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexgraph.functions.html import Selectors, parse_html
 from lexgraph.plans.stage import stage
 
+# Pages of an Arrow batch.
+BATCH_ROWS = 1_000
+
 ALL_FIELDS = (
     "links", "tags", "input", "toc", "meta", "body_text", "first_href", "first_text", "first_outer", "first_inner",
 )
@@ -44,6 +47,12 @@ def spread_pages(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
+def hold_batches(spark: SparkSession) -> None:
+    """Pages are long: the session's Arrow batches are held to ``BATCH_ROWS`` rows, so that a worker's memory does not grow with its task."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def extract_html(
     df: DataFrame,
     html: str = "bk_html",
@@ -64,6 +73,7 @@ def extract_html(
     ``failures`` gets ``failed``, the number of pages with a field that could not be read and is empty. With ``keep_failures`` the last column
     is ``failures``, [field, reason] of these fields.
     """
+    hold_batches(df.sparkSession)
     if partitions:
         df = spread_pages(df) if partitions == "auto" else df.repartition(partitions)
     others = [c for c in df.columns if c != html]
