@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexgraph.plans.lookup import counted_hot, lookup_join, salted_join
+from lexgraph.plans.lookup import frequent_join, lookup_join
 from lexgraph.plans.stage import lookup_side, stage, stage_sized
 
 
@@ -24,6 +24,8 @@ USER_FREQUENCY = 1024
 HEAD = 3
 # Long tokens are matched by pieces of so many characters, each with what its last words need beyond.
 PIECE = 512
+# Tokens of up to so many characters are worked on as one row each, with all their hits.
+SHORT = 64
 
 
 def merge_lexicon(lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
@@ -46,9 +48,20 @@ def merge_lexicon(lexicon: DataFrame, user_lexicon: DataFrame | None = None) ->
 def tokens_with_nature(
     tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None, default: str = "x"
 ) -> DataFrame:
-    """Tokens with the nature code of the lexicon, ``default`` for unknown ones."""
-    words = merge_lexicon(lexicon, user_lexicon).select(F.col("word").alias("token"), "nature")
-    joined = lookup_join(tokens, words, "token")
+    """Tokens with the nature code of the lexicon, ``default`` for unknown ones.
+
+    Of a lexicon that is too large to broadcast, only the words that occur take part: mostly few enough to be broadcast after all.
+    """
+    words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).select(F.col("word").alias("token"), "nature"), "lookup", small=False)
+    if small:
+        joined = tokens.join(F.broadcast(words), "token", "left")
+    else:
+        counted = count_tokens(tokens)
+        known = stage_sized(counted.select("token").join(words, "token"), "known_tokens")
+        if known.small:
+            joined = tokens.join(F.broadcast(known.df), "token", "left")
+        else:
+            joined = frequent_join(tokens, known.df, "token", "left", counted)
     return joined.select(*tokens.columns, F.coalesce("nature", F.lit(default)).alias("nature"))
 
 
@@ -74,16 +87,34 @@ def matches_in(distinct: DataFrame, words: DataFrame, small: bool) -> DataFrame:
     return lookup_join(grown, words, "word", "inner", small)
 
 
+def count_tokens(tokens: DataFrame) -> DataFrame:
+    """[token, seen], staged: how often each token occurs."""
+    return stage(tokens.where("token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("seen")), "distinct_tokens")
+
+
 def per_token(tokens: DataFrame, search: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``tokens`` with the columns that ``search`` finds for its distinct tokens, one row for each; tokens without one are left out.
 
-    A text repeats its tokens: each is searched once, and the counts of the same pass tell which tokens are frequent, should the join need salts.
+    A text repeats its tokens: each is searched once, and the counts of the same pass tell which tokens are frequent: these do not move for the join.
     """
-    counted = stage(tokens.where("token is not null").groupBy("token").agg(F.count(F.lit(1)).alias("seen")), "distinct_tokens")
+    counted = count_tokens(tokens)
     found = stage_sized(search(counted.select("token")), "searched_tokens")
     if found.small:
         return tokens.join(F.broadcast(found.df), "token")
-    return salted_join(tokens, found.df, "token", "inner", counted_hot(counted, "token", "seen"))
+    return frequent_join(tokens, found.df, "token", "inner", counted)
+
+
+def dealt_out(tokens: DataFrame) -> DataFrame:
+    return tokens.repartition(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
+
+
+def hits_of(short: DataFrame, words: DataFrame, small: bool, *columns: str) -> DataFrame:
+    """[token, hits]: each token of ``short`` [token] that has lexicon words, with [start, n, *columns] of all of them, ascending.
+
+    The tokens are dealt out before they are searched: if the lexicon is broadcast, no hit moves.
+    """
+    found = matches_in(dealt_out(short) if small else short, words, small)
+    return found.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("start", "n", *columns))).alias("hits"))
 
 
 def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFrame | None = None) -> DataFrame:
@@ -95,10 +126,15 @@ def lexicon_matches(tokens: DataFrame, lexicon: DataFrame, user_lexicon: DataFra
     words, small = lookup_side(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != "").select("word", "nature"), "lexicon", small=False)
 
     def longest(distinct: DataFrame) -> DataFrame:
-        best = matches_in(distinct, words, small).groupBy("token", "start").agg(F.max(F.struct("n", "word", "nature")).alias("best"))
+        # Of the hits of a short token, those behind which another place follows.
+        last = F.expr("filter(hits, (h, i) -> i = size(hits) - 1 or hits[i + 1].start > h.start)")
+        whole = hits_of(distinct.where(F.length("token") <= SHORT), words, small, "word", "nature").withColumn("hits", last)
+        short = whole.select("token", F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["word"].alias("word"), h["nature"].alias("nature"))).alias("__hits"))
+        long = distinct.where(F.length("token") > SHORT)
+        best = matches_in(long, words, small).groupBy("token", "start").agg(F.max(F.struct("n", "word", "nature")).alias("best"))
         # One row for each token: its hits are no more than its characters.
         hit = F.struct("start", F.col("best.word").alias("word"), F.col("best.nature").alias("nature"))
-        return best.groupBy("token").agg(F.collect_list(hit).alias("__hits"))
+        return short.unionByName(best.groupBy("token").agg(F.collect_list(hit).alias("__hits")))
 
     return per_token(tokens, longest).select(*tokens.columns, F.inline("__hits"))
 
@@ -112,8 +148,8 @@ def segment_tokens(
     and the frequency 1/2 if it is no word. The path of least cost wins, then that of fewest words, then that whose words begin earliest, word by word.
     User words count with ``USER_FREQUENCY``. Frequencies below 1 count as 1/2. Empty and null tokens have no part.
 
-    Tokens are cut where no word reaches across, and each stretch between is searched by itself: the best way to each of its places
-    is kept while the edges are taken in order of their start.
+    The best way to each place of a short token is kept while its edges are taken in order of their start. Long tokens are cut where no word
+    reaches across, and each stretch between is searched by itself in the same way.
     """
     staged = stage_sized(merge_lexicon(lexicon, user_lexicon).where(F.col("word") != ""), "lexicon")
     total = staged.df.agg(F.sum(F.greatest("frequency", F.lit(1)))).first()[0] or 1
@@ -122,10 +158,23 @@ def segment_tokens(
     known = F.when(F.col("frequency") < 1, unknown).otherwise(cost(F.col("frequency").cast("double")))
     words = staged.df.select("word", "nature", known.alias("cost"))
 
-    def best_path(distinct: DataFrame) -> DataFrame:
+    def short_paths(distinct: DataFrame) -> DataFrame:
+        hits = hits_of(distinct, words, staged.small, "cost", "nature")
+        edges = F.coalesce(F.transform("hits", lambda h: edge(h["start"], h["n"], h["cost"], h["nature"])), F.array().cast(EDGES))
+        each = (dealt_out(distinct) if staged.small else distinct).join(hits, "token", "left")
+        # A character that is a word has the word's edge, which is never dearer.
+        alone = F.filter(F.sequence(F.lit(0), F.length("token") - 1), lambda i: ~F.exists("edges", lambda e: (e["a"] == i) & (e["n"] == 1)))
+        singles = F.transform(alone, lambda i: edge(i, F.lit(1), unknown, F.lit(default)))
+        every = each.withColumn("edges", edges).select("token", "edges", F.sort_array(F.concat("edges", singles)).alias("every"))
+        letters = F.transform("every", lambda e: F.struct(e["a"].alias("start"), e["n"].alias("n"), e["nature"].alias("nature")))
+        best = F.transform(path_of(F.col("every")), lambda x: F.struct(x["a"].alias("start"), x["n"].alias("n"), x["nature"].alias("nature")))
+        # Without a word of several characters there is only one path.
+        return every.select("token", F.when(F.exists("edges", lambda e: e["n"] > 1), best).otherwise(letters).alias("__parts"))
+
+    def long_paths(distinct: DataFrame) -> DataFrame:
         edges = matches_in(distinct, words, staged.small).select("token", "start", "n", "nature", "cost")
         each = F.explode(F.expr("sequence(0, length(token) - 1)")).alias("start")
-        single = distinct.where("token != ''").select("token", each, F.lit(1).alias("n"), F.lit(default).alias("nature"), unknown.alias("cost"))
+        single = distinct.select("token", each, F.lit(1).alias("n"), F.lit(default).alias("nature"), unknown.alias("cost"))
         # A character that is a word has two edges of its own; the cheaper one counts, the word's if they are equal.
         both = edges.withColumn("known", F.lit(0)).unionByName(single.withColumn("known", F.lit(1)))
         ways = both.groupBy("token", "start", "n").agg(F.min(F.struct("cost", "known", "nature")).alias("way"))
@@ -134,40 +183,58 @@ def segment_tokens(
         reached = F.max(F.col("start") + F.col("n")).over(order.rangeBetween(Window.unboundedPreceding, -1))
         cut = F.when(F.coalesce(reached, F.lit(0)) <= F.col("start"), F.col("start"))
         stretch = ways.withColumn("base", F.max(cut).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-        edge = F.struct((F.col("start") - F.col("base")).alias("a"), "n", "cost", "nature")
-        gathered = stretch.groupBy("token", "base").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-        return (
-            gathered.select("token", "base", path_of(F.col("edges")).alias("path"))
-            .groupBy("token").agg(F.sort_array(F.collect_list(F.struct("base", "path"))).alias("__paths"))
-        )
-
-    found = per_token(tokens, best_path)
-    parts = F.flatten(F.transform("__paths", lambda p: F.transform(p["path"], lambda x: F.struct((p["base"] + x["a"]).alias("start"), x["n"].alias("n"), x["nature"].alias("nature")))))
-    each = found.select(*tokens.columns, F.posexplode(parts).alias("part", "__x"))
+        found = F.sort_array(F.collect_list(edge(F.col("start") - F.col("base"), F.col("n"), F.col("cost"), F.col("nature"))))
+        gathered = stretch.groupBy("token", "base").agg(found.alias("edges")).select("token", "base", path_of(F.col("edges")).alias("path"))
+        paths = gathered.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("base", "path"))).alias("paths"))
+        parts = F.transform("paths", lambda p: F.transform(p["path"], lambda x: F.struct((p["base"] + x["a"]).alias("start"), x["n"].alias("n"), x["nature"].alias("nature"))))
+        return paths.select("token", F.flatten(parts).alias("__parts"))
+
+    def best_path(distinct: DataFrame) -> DataFrame:
+        short = short_paths(distinct.where(F.length("token").between(1, SHORT)))
+        return short.unionByName(long_paths(distinct.where(F.length("token") > SHORT)))
+
+    each = per_token(tokens, best_path).select(*tokens.columns, F.posexplode("__parts").alias("part", "__x"))
     word = F.expr("substring(token, __x.start + 1, __x.n)")
     return each.select(*tokens.columns, "part", F.col("__x.start").alias("start"), word.alias("word"), F.col("__x.nature").alias("nature"))
 
 
+EDGES = "array<struct<a:int,n:int,cost:bigint,nature:string>>"
+
+
+def edge(a: Column, n: Column, cost: Column, nature: Column) -> Column:
+    return F.struct(a.alias("a"), n.alias("n"), cost.alias("cost"), nature.alias("nature"))
+
+
 def path_of(edges: Column) -> Column:
-    """The edges [a, n, cost, nature] of the best path from 0 to the last place; ``edges`` ascend by ``a``.
+    """The edges [a, n, nature] of the best path from 0 to the last place; ``edges`` [a, n, cost, nature] have each ``a`` and ``n`` once.
 
-    A place's best is a structure whose order is that of the rules: cost, words, then where they begin.
+    A place's best is a structure whose order is that of the rules: cost, words, then where they begin. It is the least of what the
+    edges that end there make of the best of their own beginnings, place by place.
     """
-    step = "array<struct<a:int,n:int,nature:string>>"
-    kind = f"struct<cost:bigint,words:int,starts:array<int>,path:{step}>"
-    begin = F.struct(F.lit(0).cast("long").alias("cost"), F.lit(0).alias("words"), F.array().cast("array<int>").alias("starts"), F.array().cast(step).alias("path")).cast(kind)
-    size = F.array_max(F.transform(edges, lambda e: e["a"] + e["n"]))
-    empty = F.concat(F.array(begin), F.array_repeat(F.lit(None).cast(kind), size))
-
-    def take(best: Column, e: Column) -> Column:
-        here = F.get(best, e["a"])
-        longer = F.struct(
-            (here["cost"] + e["cost"]).alias("cost"), (here["words"] + 1).alias("words"), F.concat(here["starts"], F.array(e["a"])).alias("starts"),
-            F.concat(here["path"], F.array(F.struct(e["a"].alias("a"), e["n"].alias("n"), e["nature"].alias("nature")))).alias("path"),
-        ).cast(kind)
-        return F.transform(best, lambda old, i: F.when(i == e["a"] + e["n"], F.least(old, longer)).otherwise(old))
-
-    return F.aggregate(edges, empty, take, lambda best: F.element_at(best, -1)["path"])
+    kind = "struct<cost:bigint,words:int,starts:array<int>>"
+    begin = F.struct(F.lit(0).cast("long").alias("cost"), F.lit(0).alias("words"), F.array().cast("array<int>").alias("starts")).cast(kind)
+
+    def take(best: Column, place: Column) -> Column:
+        def longer(e: Column) -> Column:
+            here = F.get(best, e["a"])
+            return F.struct(
+                (here["cost"] + e["cost"]).alias("cost"), (here["words"] + 1).alias("words"), F.concat(here["starts"], F.array(e["a"])).alias("starts")
+            )
+
+        return F.concat(best, F.array(F.array_min(F.transform(F.filter(edges, lambda e: e["a"] + e["n"] == place), longer))))
+
+    def path(best: Column) -> Column:
+        starts = F.element_at(best, -1)["starts"]
+
+        def part(a: Column, k: Column) -> Column:
+            n = F.coalesce(F.get(starts, k + 1), F.size(best) - 1) - a
+            nature = F.get(F.filter(edges, lambda e: (e["a"] == a) & (e["n"] == n)), F.lit(0))["nature"]
+            return F.struct(a.alias("a"), n.alias("n"), nature.alias("nature"))
+
+        return F.transform(starts, part)
+
+    places = F.sequence(F.lit(1), F.array_max(F.transform(edges, lambda e: e["a"] + e["n"])))
+    return F.aggregate(places, F.array(begin), take, path)
 
 
 def drop_stopwords(tokens: DataFrame, stop: DataFrame) -> DataFrame:
