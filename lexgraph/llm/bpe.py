@@ -190,7 +190,7 @@ def chunk_splitter():
 
 
 class Encoder:
-    """Encodes runs of texts in one task. ``known`` has the ids of chunks, forgotten when there are too many."""
+    """Encodes runs of texts in one task. ``known`` has the ids of chunks; when there are too many, those that the run at hand has not are forgotten."""
 
     LIMIT = 140_000
 
@@ -220,13 +220,12 @@ class Encoder:
             return [chunk]
         return self.pieces(chunk)
 
-    def learn(self, bodies: list[str]) -> None:
-        """Encode the chunks of the texts that are not known yet, all in one index."""
-        wanted: set[str] = set()
-        for body in bodies:
-            wanted.update(self.parts(body))
+    def learn(self, bodies: list[str]) -> list[list[str]]:
+        """Encode the chunks of the texts that are not known yet, all in one index; the chunks of each text."""
+        parts = list(map(self.parts, bodies))
+        wanted: set[str] = set().union(*parts)
         if len(self.known) + len(wanted) > self.LIMIT:
-            self.known = {}
+            self.known = {c: self.known[c] for c in wanted.intersection(self.known)}
         new = [c for c in wanted if c not in self.known]
         gc.disable()  # many small objects, no cycles
         try:
@@ -238,6 +237,7 @@ class Encoder:
                 self.known[c] = ids[found[0]] if len(found) == 1 else [i for p in found for i in ids[p]]
         finally:
             gc.enable()
+        return parts
 
 
 def decode(ids: list[int], v: Vocabulary) -> str:
@@ -261,9 +261,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             state["encoder"] = Encoder(sent())
         encoder = state["encoder"]
         bodies = [t.decode("utf-8", "replace") for t in texts(batch)]
-        encoder.learn(bodies)
+        parts = encoder.learn(bodies)
         known = encoder.known
-        ids = [[i for c in encoder.parts(body) for i in known[c]] for body in bodies]
+        ids = [[i for c in chunks for i in known[c]] for chunks in parts]
         return pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -293,21 +293,20 @@ def digest_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not state:
-            state.update(encoder=Encoder(sent()), of=None)
+            state.update(encoder=Encoder(sent()), of=None, ids={}, bytes={})
         encoder = state["encoder"]
         bodies = [t.decode("utf-8", "replace") for t in texts(batch)]
-        encoder.learn(bodies)
+        every = encoder.learn(bodies)
         known, id_bytes = encoder.known, encoder.v.id_bytes
         if state["of"] is not known:  # the encoder has forgotten its chunks
-            state.update(ids={}, bytes={}, of=known)
+            state.update({name: {c: state[name][c] for c in known if c in state[name]} for name in ("ids", "bytes")}, of=known)
         decimals, decoded = state["ids"], state["bytes"]
         for c, ids in known.items():
             if c not in decimals:
                 decimals[c] = ",".join(map(str, ids))
                 decoded[c] = b"".join([id_bytes[i] for i in ids])
         counts, ids_sha, text_sha = [], [], []
-        for body in bodies:
-            parts = encoder.parts(body)
+        for parts in every:
             ids = ",".join(map(decimals.__getitem__, parts))
             back = b"".join(map(decoded.__getitem__, parts)).decode("utf-8", "replace")
             counts.append(ids.count(",") + 1 if ids else 0)

@@ -75,3 +75,13 @@ def test_round_trip(odd, odd_texts, vocabulary):
 
 def test_empty(empty, vocabulary):
     assert bpe.digest_documents(empty, vocabulary).collect() == []
+
+
+def test_chunks_in_use_are_kept_and_texts_cut_once(vocabulary, monkeypatch):
+    """When there are too many chunks, those of the run at hand stay; a text is cut into chunks once."""
+    monkeypatch.setattr(bpe.Encoder, "LIMIT", 4)
+    encoder = bpe.Encoder(vocabulary)
+    encoder.learn(["the old house"])
+    kept = encoder.known[" old"]
+    assert encoder.learn(["an old tree stands"]) == [["an", " old", " tree", " stands"]]
+    assert encoder.known[" old"] is kept and " house" not in encoder.known and set(encoder.known) == {"an", " old", " tree", " stands"}
